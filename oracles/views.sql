@@ -92,8 +92,8 @@ SELECT
   upper(employee_id) AS employee_id,
   upper(customer_id) AS customer_id,
   coalesce(TRY_CAST(trunc(CASE WHEN regexp_matches(quantity, '^\s*[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$') THEN TRY_CAST(trim(quantity) AS DOUBLE) END) AS INTEGER), 1) AS quantity,
-  coalesce(CASE WHEN regexp_matches(unit_price, '^\s*[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$') THEN TRY_CAST(trim(unit_price) AS DECIMAL(10,2)) END, 0) AS unit_price,
-  coalesce(CASE WHEN regexp_matches(discount_amount, '^\s*[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$') THEN TRY_CAST(trim(discount_amount) AS DECIMAL(10,2)) END, 0) AS discount_amount,
+  coalesce(CASE WHEN regexp_matches(unit_price, '^\s*[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$') THEN TRY_CAST(trim(unit_price) AS DECIMAL(10,2)) END, CAST(0 AS DECIMAL(10,2))) AS unit_price,
+  coalesce(CASE WHEN regexp_matches(discount_amount, '^\s*[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$') THEN TRY_CAST(trim(discount_amount) AS DECIMAL(10,2)) END, CAST(0 AS DECIMAL(10,2))) AS discount_amount,
   transaction_time,
   failed
 FROM cleaned

@@ -11,6 +11,12 @@ from tillforge.constants import MASK, NULL_WORDS
 # ASCII blanks and separators, NEL, and every Unicode separator.
 BLANKS = r"\x09-\x0D\x1C-\x20\x85\p{Z}"
 BLANK = f"[{BLANKS}]"
+# The same characters one by one, for plain trimming.
+BLANK_CHARACTERS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 CONTROL = r"[\x00-\x1F\x7F-\x9F]"
 NUMBER = r"^\s*[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 TIMESTAMP = r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}$"
@@ -27,7 +33,7 @@ def secret_value(name: str) -> str:
 
 def strip_blank(text: Column) -> Column:
     """Remove leading and trailing white space of any kind."""
-    return F.regexp_replace(text, f"^{BLANK}+|{BLANK}+$", "")
+    return F.btrim(text, F.lit(BLANK_CHARACTERS))
 
 
 def strip_control(text: Column) -> Column:

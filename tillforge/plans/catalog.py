@@ -12,7 +12,7 @@ from tillforge.functions.text import parse_timestamp
 from tillforge.operators import audit, constraints, incremental, keys, load, rules, scd, transform, validate
 from tillforge.operators.scorecard import scorecard
 from tillforge.plans import reports
-from tillforge.session import work_dir
+from tillforge.session import work_dir, write_through
 from tillforge.sources import feed_files, retail
 from tillforge.sources.retail import AS_OF, FEED_ORDER, TRACKED, union_all
 from tillforge.sources.tables import table
@@ -56,16 +56,28 @@ def enriched(spark: SparkSession, base: str, rows: DataFrame | None = None) -> D
     return transform.enrich(transform.normalize(transform.clean(rows)))
 
 
-def dims(spark: SparkSession, base: str) -> dict[str, DataFrame]:
-    return {entity: make(spark, base) for entity, make in retail.DIMENSIONS.items()}
+Dims = dict[str, DataFrame]
 
 
-def resolved(spark: SparkSession, base: str) -> DataFrame:
-    return keys.resolve_keys(enriched(spark, base), dims(spark, base))
+def dims(spark: SparkSession, base: str) -> Dims:
+    """The dimensions as stored tables.
 
+    Store and employee are derived by a join and a distinct, whose size the planner can
+    only guess. Written out, all four have a known size: small ones are broadcast, large
+    ones joined by key.
+    """
+    known = {entity: make(spark, base) for entity, make in retail.DIMENSIONS.items()}
+    for entity in ("store", "employee"):
+        known[entity] = write_through(known[entity], f"dim-{entity}")
+    return known
 
-def fact(spark: SparkSession, base: str) -> DataFrame:
-    return transform.fact_projection(resolved(spark, base), AUDIT_RUN_ID)
+
+def resolved(spark: SparkSession, base: str, known: Dims | None = None) -> DataFrame:
+    return keys.resolve_keys(enriched(spark, base), known or dims(spark, base))
+
+
+def fact(spark: SparkSession, base: str, known: Dims | None = None) -> DataFrame:
+    return transform.fact_projection(resolved(spark, base, known), AUDIT_RUN_ID)
 
 
 def unchecked_fact(spark: SparkSession, base: str) -> DataFrame:
@@ -546,13 +558,14 @@ def scd1_apply_employee(spark, base):
 
 @query
 def dim_rows_in_use(spark, base):
-    facts = fact(spark, base)
+    known = dims(spark, base)
+    facts = fact(spark, base, known)
     return union_all(
         [
             constraints.members_in_use(facts, dim.select(f"{e}_sk", f"{e}_id"), f"{e}_sk").select(
                 F.lit(e).alias("dimension"), F.col(f"{e}_id").alias("natural_key")
             )
-            for e, dim in dims(spark, base).items()
+            for e, dim in known.items()
         ]
     )
 
@@ -627,12 +640,14 @@ def store_watermark(spark, base):
 
 @query
 def report_region_store(spark, base):
-    return reports.region_store(fact(spark, base), retail.dim_store(spark, base))
+    known = dims(spark, base)
+    return reports.region_store(fact(spark, base, known), known["store"])
 
 
 @query
 def report_top5_products(spark, base):
-    return reports.top_categories_products(fact(spark, base), retail.dim_product(spark, base), 5)
+    known = dims(spark, base)
+    return reports.top_categories_products(fact(spark, base, known), known["product"], 5)
 
 
 @query
@@ -642,14 +657,16 @@ def report_audit_by_status(spark, base):
 
 @query
 def report_daily_store(spark, base):
+    known = dims(spark, base)
     return reports.daily_store(
-        fact(spark, base), retail.dim_date(spark, base), retail.dim_store(spark, base), REPORT_DAY
+        fact(spark, base, known), retail.dim_date(spark, base), known["store"], REPORT_DAY
     )
 
 
 @query
 def report_top10_products(spark, base):
-    return reports.top_products(fact(spark, base), retail.dim_product(spark, base), 10)
+    known = dims(spark, base)
+    return reports.top_products(fact(spark, base, known), known["product"], 10)
 
 
 @query
@@ -659,12 +676,14 @@ def report_monthly(spark, base):
 
 @query
 def report_employee(spark, base):
-    return reports.employee_sales(fact(spark, base), retail.dim_employee(spark, base))
+    known = dims(spark, base)
+    return reports.employee_sales(fact(spark, base, known), known["employee"])
 
 
 @query
 def report_repeat_customers(spark, base):
-    return reports.repeat_customers(fact(spark, base), retail.dim_customer(spark, base))
+    known = dims(spark, base)
+    return reports.repeat_customers(fact(spark, base, known), known["customer"])
 
 
 @query
@@ -674,22 +693,26 @@ def report_weekend(spark, base):
 
 @query
 def report_region(spark, base):
-    return reports.region(fact(spark, base), retail.dim_store(spark, base))
+    known = dims(spark, base)
+    return reports.region(fact(spark, base, known), known["store"])
 
 
 @query
 def report_category(spark, base):
-    return reports.category(fact(spark, base), retail.dim_product(spark, base))
+    known = dims(spark, base)
+    return reports.category(fact(spark, base, known), known["product"])
 
 
 @query
 def report_store_aov(spark, base):
-    return reports.store_line_value(fact(spark, base), retail.dim_store(spark, base))
+    known = dims(spark, base)
+    return reports.store_line_value(fact(spark, base, known), known["store"])
 
 
 @query
 def report_top10_stores(spark, base):
-    return reports.top_stores(fact(spark, base), retail.dim_store(spark, base), 10)
+    known = dims(spark, base)
+    return reports.top_stores(fact(spark, base, known), known["store"], 10)
 
 
 # --- audit runs --------------------------------------------------------------------------
