@@ -18,6 +18,7 @@ BLANK_CHARACTERS = (
     "\u2028\u2029\u202f\u205f\u3000"
 )
 CONTROL = r"[\x00-\x1F\x7F-\x9F]"
+CONTROL_CHARACTERS = "".join(map(chr, [*range(0x20), *range(0x7F, 0xA0)]))
 NUMBER = r"^\s*[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 TIMESTAMP = r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}$"
 
@@ -38,13 +39,17 @@ def strip_blank(text: Column) -> Column:
 
 def strip_control(text: Column) -> Column:
     """Remove control characters anywhere in the text."""
-    return F.regexp_replace(text, CONTROL, "")
+    return F.translate(text, CONTROL_CHARACTERS, "")
+
+
+def null_words(text: Column) -> Column:
+    """NULL where the text is one of the words that stand for a missing value."""
+    return F.when(~F.lower(text).isin(NULL_WORDS), text)
 
 
 def clean_text(text: Column) -> Column:
     """Trim, drop control characters, then turn NULL words into NULL."""
-    cleaned = strip_control(strip_blank(text))
-    return F.when(~F.lower(cleaned).isin(NULL_WORDS), cleaned)
+    return null_words(strip_control(strip_blank(text)))
 
 
 def parse_number(text: Column) -> Column:

@@ -8,7 +8,16 @@ from pyspark.sql.types import StringType
 
 from tillforge import constants as C
 from tillforge.functions.money import AMOUNT, MONEY, WIDE, cents, from_cents, half_up
-from tillforge.functions.text import NUMBER, clean_text, parse_number, parse_timestamp, redact
+from tillforge.functions.text import (
+    NUMBER,
+    clean_text,
+    null_words,
+    parse_number,
+    parse_timestamp,
+    redact,
+    strip_blank,
+    strip_control,
+)
 
 CODE_COLUMNS = ["store_id", "product_id", "employee_id", "customer_id", "transaction_id"]
 MONEY_COLUMNS = ["unit_price", "discount_amount"]
@@ -16,8 +25,10 @@ MONEY_COLUMNS = ["unit_price", "discount_amount"]
 
 def clean(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Trim, strip control characters and NULL words in all (or the named) text columns."""
-    texts = [f.name for f in df.schema if isinstance(f.dataType, StringType)]
-    return df.withColumns({c: clean_text(F.col(c)) for c in columns or texts})
+    texts = columns or [f.name for f in df.schema if isinstance(f.dataType, StringType)]
+    # Two projections: one over all columns compiles to a method too long for the JIT.
+    stripped = df.withColumns({c: strip_control(strip_blank(F.col(c))) for c in texts})
+    return stripped.withColumns({c: null_words(F.col(c)) for c in texts})
 
 
 def to_money(text: Column) -> Column:

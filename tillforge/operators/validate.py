@@ -7,7 +7,7 @@ reports are plain filters and aggregates over those columns.
 from __future__ import annotations
 
 from functools import reduce
-from operator import or_
+from operator import add, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -85,8 +85,10 @@ def flag_feed(
     if any(rule.code == C.DUPLICATE for rule in rules):
         feed = mark_repeats(feed, keys or C.DUPLICATE_KEY, order_by)
     flagged = parse_feed(feed).withColumns({rule.code: rule.fails for rule in rules})
-    failed = reduce(or_, [F.col(rule.code) for rule in rules])
-    return flagged.withColumn("failed", failed).drop(*HELPERS)
+    # A count, not a chain of ORs: the optimizer would break the chain up and push each
+    # rule below the join and into the scan, where its text parsing is repeated.
+    broken = reduce(add, [F.col(rule.code).cast("int") for rule in rules])
+    return flagged.withColumn("failed", broken > 0).drop(*HELPERS)
 
 
 def passed_rows(flagged: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -119,8 +121,13 @@ def write_quarantine(
     source_file: Column,
     quarantined_at: str,
     columns: list[str] | None = None,
+    mode: str = "append",
 ) -> None:
-    """Append the failed rows as JSON lines below ``run_id=``, raw values nested."""
+    """Write the failed rows as JSON lines below ``run_id=``, raw values nested.
+
+    With ``mode="overwrite"`` only the folder of this run is replaced, so a repeated run
+    leaves one copy.
+    """
     columns = columns or C.FEED_COLUMNS
     record = flagged.filter("failed").select(
         F.lit(run_id).alias("run_id"),
@@ -130,7 +137,8 @@ def write_quarantine(
         F.split(error_messages(rules), "; ").alias("error_messages"),
         F.lit(quarantined_at).alias("quarantined_at"),
     )
-    record.write.mode("append").partitionBy("run_id").json(path)
+    writer = record.write.option("partitionOverwriteMode", "dynamic").mode(mode)
+    writer.partitionBy("run_id").json(path)
 
 
 QUARANTINE_SCHEMA = (
