@@ -17,14 +17,14 @@ def total(amount: Column) -> Column:
 
 
 def half_up(numerator: Column, denominator: Column) -> Column:
-    """Nearest whole number to a ratio with a positive denominator; ties go outward.
+    """Nearest whole number to a ratio; ties go away from zero.
 
     Works on integers only, so no double and no intermediate rounding is involved.
     """
     n = numerator.cast("decimal(38,0)")
     d = denominator.cast("decimal(18,0)")
-    magnitude = F.call_function("div", F.abs(n) * 2 + d, d * 2)
-    return F.when(n < 0, -magnitude).otherwise(magnitude)
+    magnitude = F.call_function("div", F.abs(n) * 2 + F.abs(d), F.abs(d) * 2)
+    return F.when((n < 0) != (d < 0), -magnitude).otherwise(magnitude)
 
 
 def cents(amount: Column) -> Column:

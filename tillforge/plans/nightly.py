@@ -93,10 +93,9 @@ def run_feed(
     # Bronze to silver: judge every row once and keep the verdicts.
     bronze = feed_files.land_feed(spark, paths, f"{warehouse}/bronze/feed/run_id={run.run_id}")
     rules = validate.default_rules(run.as_of)
-    validate.flag_feed(bronze, feed_files.FILE_ORDER, run.as_of, rules).write.mode("overwrite").partitionBy(
-        "failed"
-    ).parquet(silver)
-    flagged = spark.read.parquet(silver)
+    verdicts = validate.flag_feed(bronze, feed_files.FILE_ORDER, run.as_of, rules)
+    verdicts.write.mode("overwrite").partitionBy("failed").parquet(silver)
+    flagged = spark.read.schema(verdicts.schema).parquet(silver)
 
     validate.write_quarantine(
         flagged, rules, f"{warehouse}/quarantine", run.run_id, F.col("source_file"), run.as_of, mode="overwrite"
