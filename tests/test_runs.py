@@ -57,6 +57,11 @@ def test_nightly_run_then_duplicate_then_replay(spark, tmp_path):
     assert {r.date_sk for r in loaded.collect()} == {20260724}
     assert validate.read_quarantine(spark, str(tmp_path / "wh/quarantine")).first().raw_record.transaction_id == "TX-003"
 
+    manifest = spark.read.parquet(str(tmp_path / "wh/meta/manifest")).first()
+    assert (manifest.rows_read, manifest.rows_loaded, manifest.rows_rejected, manifest.status) == (3, 2, 1, "SUCCESS")
+    logged = spark.read.parquet(str(tmp_path / "wh/meta/etl_audit_log")).first()
+    assert (logged.records_read, logged.records_loaded, logged.execution_status) == (3, 2, "PARTIAL_SUCCESS")
+
     assert run(spark, tmp_path, "run-2", 2)["status"] == "SKIPPED"
     replayed = run(spark, tmp_path, "run-3", 3, replay=True)
     assert replayed["files"] == 1 and facts(spark, tmp_path).count() == 2

@@ -97,7 +97,9 @@ def registry_state(events: DataFrame) -> DataFrame:
     )
 
 
-def run_manifest(classified: DataFrame, run_id: str, strategy: str = "FILE_HASH") -> DataFrame:
+def run_manifest(
+    classified: DataFrame, run_id: str, strategy: str = "FILE_HASH", extra: list[str] | None = None
+) -> DataFrame:
     """One manifest row per evaluated file; needs ``rows_in_file``."""
     load = F.col("classification").isin("NEW", "MODIFIED", "REPROCESS")
     return classified.select(
@@ -111,6 +113,7 @@ def run_manifest(classified: DataFrame, run_id: str, strategy: str = "FILE_HASH"
         "classification",
         F.lit(C.APPLICATION_VERSION).alias("pipeline_version"),
         F.when(load, "SUCCESS").otherwise("SKIPPED").alias("status"),
+        *(extra or []),
     )
 
 

@@ -9,6 +9,7 @@ keeps its facts from being added twice.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +25,12 @@ REGISTRY_SCHEMA = (
     "file_name string, file_hash string, status string, processed_at timestamp_ntz, batch_id string, run_id string"
 )
 WATERMARK_SCHEMA = "entity_name string, store_id string, last_processed_timestamp timestamp_ntz, run_id string"
+AUDIT_SCHEMA = (
+    "run_id bigint, pipeline_run_id string, batch_id string, source_folder string, execution_stage string, "
+    "records_read bigint, records_valid bigint, records_rejected bigint, records_loaded bigint, "
+    "execution_status string, started_at timestamp_ntz, completed_at timestamp_ntz, application_version string, "
+    "error_summary string"
+)
 LOADED = ["NEW", "MODIFIED", "REPROCESS"]
 
 
@@ -65,6 +72,43 @@ def incoming(spark: SparkSession, feed_dir: str, run: Run) -> DataFrame:
     )
 
 
+def _clock() -> datetime:
+    return datetime.now(timezone.utc).replace(tzinfo=None)
+
+
+def log_run(
+    spark: SparkSession, meta: str, feed_dir: str, run: Run, started: datetime, stage: str, report, loaded: int, error: str
+) -> None:
+    """Append the run's row to the audit log."""
+    status = "FAILED" if error else "PARTIAL_SUCCESS" if report.failed_rows else "SUCCESS"
+    row = (
+        run.audit_run_id, run.run_id, run.batch_id, feed_dir, stage,
+        report.total_rows, report.passed_rows, report.failed_rows, loaded,
+        status, started, _clock(), C.APPLICATION_VERSION, error,
+    )
+    spark.createDataFrame([row], AUDIT_SCHEMA).coalesce(1).write.mode("append").parquet(f"{meta}/etl_audit_log")
+
+
+def write_manifest(files: DataFrame, flagged: DataFrame | None, meta: str, run: Run) -> None:
+    """One row per evaluated file: its class, its rows read, loaded and rejected."""
+    def local(column: str):
+        return F.regexp_replace(column, "^file:/+", "file:/")
+
+    files = files.withColumn("path", local("path"))
+    if flagged is None:
+        zero = F.lit(0).cast("bigint")
+        counted = files.withColumns({"rows_in_file": zero, "rows_rejected": zero})
+    else:
+        rows = flagged.groupBy(local("source_file").alias("path")).agg(
+            F.count(F.lit(1)).alias("rows_in_file"), F.count_if("failed").alias("rows_rejected")
+        )
+        counted = files.join(rows, "path", "left").fillna(0, ["rows_in_file", "rows_rejected"])
+    manifest = incremental.run_manifest(counted, run.run_id, extra=["rows_rejected"])
+    manifest.withColumn("rows_loaded", F.col("rows_loaded") - F.col("rows_rejected")).write.mode(
+        "overwrite"
+    ).parquet(f"{meta}/manifest/run_id={run.run_id}")
+
+
 def run_feed(
     spark: SparkSession, feed_dir: str, warehouse: str, dims: dict[str, DataFrame], run: Run
 ) -> dict:
@@ -73,6 +117,7 @@ def run_feed(
     ``dims`` are the current dimension tables. Only one-row figures and the list of new
     file names reach the driver.
     """
+    started = _clock()
     meta = f"{warehouse}/meta"
     silver = f"{warehouse}/silver/run_id={run.run_id}"
     facts_path = f"{warehouse}/gold/fact_sales"
@@ -84,6 +129,7 @@ def run_feed(
     # One name per store file; Spark lists the same names on the driver when it reads them.
     paths = [r.path for r in files.filter(F.col("classification").isin(LOADED)).select("path").toLocalIterator()]
     if not paths:
+        write_manifest(files, None, meta, run)
         return {"run_id": run.run_id, "status": "SKIPPED", "files": 0}
 
     missing = [c for c in C.REQUIRED_COLUMNS if c not in feed_files.header_columns(spark, paths)]
@@ -102,7 +148,9 @@ def run_feed(
     )
     report = validate.validation_report(flagged, {"is_valid": run.max_error_percentage}).first()
     if not report.is_valid:
-        raise ValidationFailed(f"{report.failed_rows} of {report.total_rows} rows failed")
+        error = f"{report.failed_rows} of {report.total_rows} rows failed"
+        log_run(spark, meta, feed_dir, run, started, "ROW_VALIDATION", report, 0, error)
+        raise ValidationFailed(error)
 
     # Silver to gold.
     enriched = transform.enrich(transform.normalize(transform.clean(validate.passed_rows(flagged))))
@@ -123,6 +171,8 @@ def run_feed(
         validate.passed_rows(flagged), parse_timestamp(F.col("transaction_time"))
     ).withColumn("run_id", F.lit(run.run_id))
     marks.write.mode("append").parquet(f"{meta}/store_watermark")
+    write_manifest(files, flagged, meta, run)
+    log_run(spark, meta, feed_dir, run, started, "COMPLETED", report, balance.loaded_rows, "")
     now = F.lit(run.as_of).cast("timestamp_ntz")
     files.filter(F.col("classification").isin(LOADED)).select(
         "file_name",
