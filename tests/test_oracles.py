@@ -5,8 +5,10 @@ from compare import connect, differences
 
 import __spark_entry__ as contract
 
-ORACLES = contract.oracle_sql()
-QUERIES = contract.queries()
+from oracles import load_oracles
+from tillforge.plans.catalog import QUERIES
+
+ORACLES = {name: sql for name, sql in load_oracles().items() if name in QUERIES}
 
 
 @pytest.fixture(scope="module")
