@@ -5,8 +5,8 @@ and an odd sketch: every sample flips one bit of a parity bitmap, so that the po
 count of the XOR of two bitmaps estimates how many samples differ. Documents of one shingle
 set are one node. In every bucket each node meets the smallest one; pairs whose sketches
 allow the similarity are confirmed on the full sets. Buckets that still hold several
-components are then compared in full, in blocks, by sketches, and what these allow is
-confirmed too. Components are a distributed union-find.
+components are then compared in full, in blocks: by sketches, and where these allow a link
+on the full sets. Components are a distributed union-find.
 
 Defined cases: null and empty texts have no shingles, are linked with nothing and are their
 own component; fewer than five words are one shingle; rows under one doc_id are one node
@@ -39,6 +39,7 @@ SKETCH_BITS = 64 * SKETCH_WORDS
 #: sketch's own: true links fall below it with a chance under 1e-7.
 LEAST_ESTIMATE = 0.45
 BLOCK = 256
+COLUMNS = 1 << 13
 CHUNK = 1 << 16
 
 _seeds = mix(np.arange(1, 2 * SAMPLES + 1, dtype=np.uint64))
@@ -160,34 +161,62 @@ def _confirmed(pairs: DataFrame, documents: DataFrame) -> DataFrame:
     return both.select("a", "b", "text_a", "text_b").mapInArrow(_confirm, "a bigint, b bigint")
 
 
-def _block_pairs(members: DataFrame) -> DataFrame:
-    """Pairs across components that share a bucket and whose sketches allow a link.
+def _shared_counts(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Sizes of the rows' shingle sets, and of the intersection of every two of them."""
+    shingles, borders = shingle_sets(text)
+    row = np.repeat(np.arange(len(text)), np.diff(borders))
+    values, at = np.unique(shingles, return_inverse=True)
+    order = np.argsort(at, kind="stable")
+    row, at = row[order], at[order]
+    shared = np.zeros((len(text), len(text)), np.float64)
+    for start in range(0, len(values), COLUMNS):
+        lo, hi = np.searchsorted(at, [start, start + COLUMNS])
+        held = np.zeros((len(text), min(COLUMNS, len(values) - start)), np.float32)
+        held[row[lo:hi], at[lo:hi] - start] = 1
+        shared += held @ held.T
+    return np.diff(borders), shared
+
+
+def _links_in_block(table: pa.Table) -> pa.Table:
+    node, root, own = (table.column(c).to_numpy() for c in ("node", "root", "own"))
+    bits = np.array(table.column("sketch").to_pylist(), np.int64).view(np.uint64)
+    keys = np.array(table.column("buckets").to_pylist(), np.int64)
+    i, j, bucket = (table.column(c)[0].as_py() for c in ("i", "j", "bucket"))
+    left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
+    none = pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+    if not len(left) or not len(right):
+        return none
+    open_ = root[left][:, None] != root[right]
+    band = int(np.flatnonzero(keys[0] == bucket)[0])
+    for k, x in enumerate(left):
+        open_[k] &= np.bitwise_count(bits[x] ^ bits[right]).sum(axis=1) <= MOST_BITS
+        if band:  # pairs that share an earlier band are compared there
+            open_[k] &= ~(keys[x, :band] == keys[right, :band]).any(axis=1)
+    if not open_.any():
+        return none
+    left, right = left[open_.any(axis=1)], right[open_.any(axis=0)]
+    used = np.unique(np.concatenate([left, right]))
+    sizes, shared = _shared_counts(table.column("text").combine_chunks().take(pa.array(used)))
+    x, y = np.searchsorted(used, left)[:, None], np.searchsorted(used, right)
+    both = shared[x, y]
+    linked = (both > 0) & (PERCENT_INTERSECTION * both >= PERCENT_UNION * (sizes[x] + sizes[y] - both))
+    k, m = np.nonzero(linked & (root[left][:, None] != root[right]))
+    return pa.table({"a": node[left[k]], "b": node[right[m]]})
+
+
+def _links_across(members: DataFrame, documents: DataFrame) -> DataFrame:
+    """Links between components that share a bucket, confirmed on the full sets.
 
     A bucket is cut into blocks of some BLOCK members and every pair of blocks is compared
-    in a group of its own, so that no task holds a whole bucket."""
+    in a group of its own, so that no task holds a whole bucket; a group gives links, not
+    pairs to look at."""
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("node"), blocks.cast("bigint")).cast("int")
-    dealt = members.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    dealt = dealt.select(
-        "bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "root", "sketch"
+    texts = documents.filter("text is not null").select(F.col("doc_id").alias("node"), "text")
+    dealt = members.join(texts, "node").withColumn("own", F.pmod(F.xxhash64("node"), blocks.cast("bigint")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1))).select(
+        "bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "root", "sketch", "buckets", "text"
     )
-
-    def compare(table: pa.Table) -> pa.Table:
-        node = table.column("node").to_numpy()
-        root = table.column("root").to_numpy()
-        own = table.column("own").to_numpy()
-        bits = np.array(table.column("sketch").to_pylist(), np.int64).view(np.uint64)
-        i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
-        right = np.flatnonzero(own == j)
-        found = [np.zeros((0, 2), np.int64)]
-        for x in np.flatnonzero(own == i):
-            apart = np.bitwise_count(bits[x] ^ bits[right]).sum(axis=1)
-            y = right[(apart <= MOST_BITS) & (root[right] != root[x])]
-            found.append(np.stack([np.minimum(node[x], node[y]), np.maximum(node[x], node[y])], axis=1))
-        pairs = np.unique(np.concatenate(found), axis=0)
-        return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
-
-    return dealt.groupBy("bucket", "i", "j").applyInArrow(compare, "a bigint, b bigint").distinct()
+    return dealt.groupBy("bucket", "i", "j").applyInArrow(_links_in_block, "a bigint, b bigint").distinct()
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
@@ -218,14 +247,11 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     )
     links = keep(_confirmed(keep(hubs, "near-pairs"), documents), "near-links")
     roots = components(links, "near-roots")
-    rooted = nodes.select("node", "sketch").join(roots, "node", "left").select(
-        "node", "sketch", F.coalesce("root", "node").alias("root")
-    )
+    rooted = nodes.join(roots, "node", "left").select("node", "sketch", "buckets", F.coalesce("root", "node").alias("root"))
     placed = members.select("bucket", "node", "n").join(rooted.select("node", "root"), "node")
     mixed = placed.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("bucket")
     open_ = placed.join(mixed, "bucket").select("bucket", "node", "n").join(rooted, "node")
-    rest = keep(_block_pairs(open_), "near-rest")
-    found = keep(_confirmed(rest, documents), "near-found")
+    found = keep(_links_across(open_, documents), "near-found")
     roots = components(links.unionByName(found), "near-components")
     return (
         sketched.select("doc_id", "n_shingles", "set_1", "set_2")
