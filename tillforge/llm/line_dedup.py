@@ -3,8 +3,8 @@
 A line is lower-cased and trimmed. Its distinct eight-character shingles give SAMPLES minima
 (the shingle hash XORed with a seed each), aggregated per distinct line before the shuffle,
 so that texts are not moved and a line with a third of all occurrences is one row a task.
-Bands of minima are buckets. In each bucket a line meets the earliest line and its
-neighbour in length; the exact Jaccard similarity of the shingle sets decides. Buckets that
+Bands of minima are buckets. In each bucket a line meets the earliest line; the exact
+Jaccard similarity of the shingle sets decides. Buckets that
 still hold several components are compared in full, in blocks, by their minima, and what
 these allow is decided exactly too. Union-find over line positions keeps the earliest line
 of each component.
@@ -17,7 +17,7 @@ without a doc_id are not compared and stay; extra columns are ignored or passed
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillforge.llm.components import components
@@ -29,8 +29,8 @@ PERCENT_INTERSECTION, PERCENT_UNION = 100, 75
 #: of 0.85 with 0.05 %.
 BANDS, BAND_ROWS = 8, 3
 SAMPLES = BANDS * BAND_ROWS
-#: Four deviations of the number of equal minima below the threshold.
-LEAST_EQUAL = 10
+#: Of pairs at the threshold 0.2 % have fewer equal minima.
+LEAST_EQUAL = 12
 #: Positions that one row of the shingle scan covers.
 STEP = 8
 BLOCK = 256
@@ -73,10 +73,10 @@ def _seed(k: int) -> int:
 
 
 def signatures(documents: DataFrame) -> DataFrame:
-    """Distinct lines: ``mark, place`` (earliest), ``length`` and ``minima``."""
+    """Distinct lines: ``mark, place`` (earliest) and ``minima``."""
     lines = lines_of(documents).filter("doc_id is not null and line <> ''").withColumn("mark", F.unhex(F.md5("line")))
-    own = lines.select("mark", place(F.col("doc_id"), F.col("line_no")).alias("place"), F.length("line").alias("length"))
-    earliest = own.groupBy("mark").agg(F.min("place").alias("place"), F.max("length").alias("length"))
+    own = lines.select("mark", place(F.col("doc_id"), F.col("line_no")).alias("place"))
+    earliest = own.groupBy("mark").agg(F.min("place").alias("place"))
     wide = lines.select("mark", F.length("line").alias("length"), _wide(F.col("line")).alias("wide"))
     at = wide.select(
         "mark", "wide", _last(F.col("length")).alias("last"), F.explode(F.sequence(F.lit(0), _last(F.col("length")), F.lit(STEP))).alias("at")
@@ -98,15 +98,19 @@ def _buckets() -> Column:
     return F.array(*(F.xxhash64(F.lit(b), *(minima[b * BAND_ROWS + r] for r in range(BAND_ROWS))) for b in range(BANDS)))
 
 
-def shingles(line: Column) -> Column:
-    """The set of shingle hashes of a normal line."""
-    return F.array_distinct(
-        F.transform(F.sequence(F.lit(0), _last(F.length(line))), lambda i: _shingle_at(_wide(line), i))
-    )
+def shingles(wide: str) -> Column:
+    """The set of shingle hashes of a normal line. The text is bound to a variable: as a
+    column it would be computed or copied anew for every shingle."""
+
+    def of(text):
+        last = _last((F.length(text) / 4).cast("int"))
+        return F.array_distinct(F.transform(F.sequence(F.lit(0), last), lambda i: _shingle_at(text, i)))
+
+    return F.get(F.transform(F.array(F.col(wide)), of), F.lit(0))
 
 
 def _texts(documents: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``place, line`` of the wanted ``mark, place`` rows; a text is split once."""
+    """``place, wide`` of the wanted ``mark, place`` rows; a text is split once."""
     at = wanted.select(
         F.floor(F.col("place") / F.lit(4294967296).cast("decimal(10,0)")).cast("bigint").alias("doc_id"), "place", "mark"
     )
@@ -117,7 +121,7 @@ def _texts(documents: DataFrame, wanted: DataFrame) -> DataFrame:
         F.inline(F.transform("asked", lambda w: F.struct(w["place"].alias("place"), w["mark"].alias("mark"), F.get("lines", w["line_no"]).alias("line"))))
     )
     found = found.select("place", "mark", _normal(F.col("line")).alias("line"))
-    return found.filter(F.unhex(F.md5("line")) == F.col("mark")).select("place", "line").distinct()
+    return found.filter(F.unhex(F.md5("line")) == F.col("mark")).select("place", _wide(F.col("line")).alias("wide")).distinct()
 
 
 def _confirmed(pairs: DataFrame, distinct: DataFrame, documents: DataFrame) -> DataFrame:
@@ -125,12 +129,21 @@ def _confirmed(pairs: DataFrame, distinct: DataFrame, documents: DataFrame) -> D
     ends = pairs.select(F.explode(F.array("a", "b")).alias("place")).distinct()
     texts = keep(_texts(documents, distinct.select("mark", "place").join(ends, "place")), "lines-texts")
     both = (
-        pairs.join(texts.select(F.col("place").alias("a"), F.col("line").alias("line_a")), "a")
-        .join(texts.select(F.col("place").alias("b"), F.col("line").alias("line_b")), "b")
-        .select("a", "b", shingles(F.col("line_a")).alias("x"), shingles(F.col("line_b")).alias("y"))
+        pairs.join(texts.select(F.col("place").alias("a"), F.col("wide").alias("wide_a")), "a")
+        .join(texts.select(F.col("place").alias("b"), F.col("wide").alias("wide_b")), "b")
+        .select("a", "b", "wide_a", "wide_b")
     )
-    shared = F.size(F.array_intersect("x", "y"))
-    return both.filter(PERCENT_INTERSECTION * shared >= PERCENT_UNION * (F.size("x") + F.size("y") - shared)).select("a", "b").distinct()
+    # Shingling costs far more than the bytes of a pair suggest, by which joins size their tasks.
+    both = both.repartition(int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "a", "b")
+    # Both sets are elements of one array, so that each is made once for all uses of it.
+    sets = F.array(F.struct(shingles("wide_a").alias("x"), shingles("wide_b").alias("y")))
+    return both.filter(F.exists(sets, _similar)).select("a", "b").distinct()
+
+
+def _similar(pair) -> Column:
+    """|x and y| / |x or y| reaches the threshold, with the union as |x| + |y| - |x and y|."""
+    shared = F.size(F.array_intersect(pair["x"], pair["y"]))
+    return (PERCENT_INTERSECTION + PERCENT_UNION) * shared >= PERCENT_UNION * (F.size(pair["x"]) + F.size(pair["y"]))
 
 
 def _ordered(a: Column, b: Column) -> list[Column]:
@@ -157,16 +170,12 @@ def _open_pairs(members: DataFrame) -> DataFrame:
 def line_components(documents: DataFrame) -> DataFrame:
     """``mark, root``: the earliest place in the component of each distinct line."""
     distinct = keep(signatures(documents), "lines-distinct")
-    banded = distinct.select("place", "length", F.explode(_buckets()).alias("bucket"))
+    banded = distinct.select("place", F.explode(_buckets()).alias("bucket"))
     crowded = keep(banded.groupBy("bucket").count().filter("count > 1").select("bucket"), "lines-crowded")
     banded = keep(banded.join(crowded, "bucket"), "lines-banded")
     shared = banded.groupBy("bucket").agg(F.count("*").alias("n"), F.min("place").alias("hub"))
     members = keep(banded.join(shared, "bucket"), "lines-members")
-    salt = F.pmod(F.xxhash64("place"), F.ceil(F.col("n") / (4 * BLOCK)))
-    beside = F.lag("place").over(Window.partitionBy("bucket", salt).orderBy("length", "place"))
-    met = members.withColumn("beside", beside).select("place", F.explode(F.array("hub", "beside")).alias("other"))
-    met = met.filter("other <> place")
-    pairs = keep(met.select(*_ordered(F.col("place"), F.col("other"))).distinct(), "lines-pairs")
+    pairs = keep(members.filter("hub <> place").select(F.col("hub").alias("a"), F.col("place").alias("b")).distinct(), "lines-pairs")
     minima = distinct.select("place", "minima")
     equal = sum(((F.col("minima_a")[k] == F.col("minima_b")[k]).cast("int") for k in range(SAMPLES)), F.lit(0))
     likely = (
