@@ -94,7 +94,7 @@ def canonical(text: Column) -> Column:
     """The same for texts that differ in case, punctuation, copyright lines or spelling."""
     out = F.lower(text)
     # A copyright line starts with the word or sign, possibly after comment marks.
-    out = F.regexp_replace(out, r"(?m)^[^\p{L}\p{N}\n©]*+(?:copyright\b(?=[^\p{L}\n]*+(?:\(c\)|©|\d|<))|©|\(c\)\s)[^\n]*+$", " ")
+    out = F.regexp_replace(out, r"(?m)^[^\p{L}\p{N}\n©]*+(?:copyright\b(?=[ ,:]*+(?:\(c\)|©|[0-9]|<))|©|\(c\)\s)[^\n]*+$", " ")
     out = F.trim(F.regexp_replace(out, r"[^\p{L}\p{N}]++", " "))
     for spelling, same in SPELLINGS.items():
         out = F.replace(out, F.lit(spelling), F.lit(same))

@@ -210,7 +210,7 @@ def judged_lines(documents: DataFrame) -> DataFrame:
         "doc_id",
         F.col("line_no").cast("bigint").alias("line_no"),
         keeper.alias("kept_doc_id"),
-        (F.col("root") - place(keeper, F.lit(0))).cast("bigint").alias("kept_line_no"),
+        F.coalesce((F.col("root") - place(keeper, F.lit(0))).cast("bigint"), F.col("line_no").cast("bigint")).alias("kept_line_no"),
         F.coalesce(own == F.col("root"), F.lit(True)).alias("kept"),
     )
 

@@ -32,7 +32,7 @@ from tillforge.llm.store import keep
 from tillforge.llm.words import slices
 
 CAPACITY = 2048
-SMALLEST = 16
+SMALLEST = 8
 END = 1
 #: Words whose ids a Python worker remembers; beyond it the memory starts anew.
 REMEMBERED = 400_000

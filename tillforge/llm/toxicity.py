@@ -28,6 +28,8 @@ GRADES = 4
 #: Words that are features: those whose presence differs most between toxic and other rows.
 FEATURES = 512
 LEAST_ROWS = 4
+#: The 5 % point of chi-square with one degree of freedom.
+LEAST_CHI = 3.84
 ROUNDS, STEP, RIDGE = 400, 0.1, 1e-4
 THRESHOLD = 0.5
 
@@ -78,7 +80,7 @@ def _choose(flat: np.ndarray, row: np.ndarray, toxic: np.ndarray) -> np.ndarray:
     chi = (in_toxic - held * share) ** 2 / np.maximum(held * share * (1 - share), 1e-9)
     chi[held < LEAST_ROWS] = 0
     order = np.lexsort((words, -chi))[:FEATURES]
-    return np.sort(words[order[chi[order] > 3.84]])
+    return np.sort(words[order[chi[order] > LEAST_CHI]])
 
 
 def _grades(count: np.ndarray, toxic: np.ndarray) -> np.ndarray:
