@@ -96,4 +96,3 @@ FAILURE_CATEGORIES = [
     "AUDIT",
     "UNKNOWN",
 ]
-FILE_CLASSES = ["NEW", "MODIFIED", "DUPLICATE", "STALE", "REPROCESS"]

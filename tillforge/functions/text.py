@@ -17,7 +17,6 @@ BLANK_CHARACTERS = (
     "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
     "\u2028\u2029\u202f\u205f\u3000"
 )
-CONTROL = r"[\x00-\x1F\x7F-\x9F]"
 CONTROL_CHARACTERS = "".join(map(chr, [*range(0x20), *range(0x7F, 0xA0)]))
 NUMBER = r"^\s*[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 TIMESTAMP = r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}$"

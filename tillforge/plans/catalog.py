@@ -855,18 +855,25 @@ def idempotent_reload(spark, base):
 # --- streaming ----------------------------------------------------------------------------
 
 
-def _landed_parquet(spark, base):
-    path = work_dir(spark, "landed")
-    feed(spark, base).write.parquet(path)
-    return path, spark.read.parquet(path).schema
+def _landed_parquet(spark, base, arrivals=4):
+    """The feed as files that arrive in feed order, in several lots; copies of a key fall
+    into different lots. Returns the number of files in a lot as well."""
+    path, rows, files = work_dir(spark, "landed"), feed(spark, base), spark.sparkContext.defaultParallelism
+    by = F.col(FEED_ORDER[0])
+    cuts = rows.approxQuantile(FEED_ORDER[0], [k / arrivals for k in range(1, arrivals)], 0.01)
+    for low, high in zip([None, *cuts], [*cuts, None]):
+        lot = rows if low is None else rows.filter(by > low)
+        lot = lot if high is None else lot.filter(by <= high)
+        lot.repartition(files).write.mode("append").parquet(path)
+    return path, spark.read.parquet(path).schema, files
 
 
 @query
 def stream_validate_feed(spark, base):
-    path, schema = _landed_parquet(spark, base)
+    path, schema, files = _landed_parquet(spark, base)
     out = work_dir(spark, "stream")
     ingest.validate_stream(
-        ingest.feed_stream(spark, path, schema), FEED_ORDER, AS_OF, f"{out}/clean", f"{out}/bad", f"{out}/checkpoint"
+        ingest.feed_stream(spark, path, schema, files), FEED_ORDER, AS_OF, f"{out}/clean", f"{out}/bad", f"{out}/checkpoint"
     ).awaitTermination()
     columns = C.FEED_COLUMNS
     clean = spark.read.parquet(f"{out}/clean/rows").select(*columns, F.lit("").alias("error_codes"))
@@ -876,9 +883,9 @@ def stream_validate_feed(spark, base):
 
 @query
 def stream_dedupe(spark, base):
-    path, schema = _landed_parquet(spark, base)
+    path, schema, files = _landed_parquet(spark, base)
     out = work_dir(spark, "stream-dedupe")
-    lines = ingest.feed_stream(spark, path, schema)
+    lines = ingest.feed_stream(spark, path, schema, files)
     (
         ingest.dedupe_stream(lines)
         .writeStream.format("parquet")

@@ -47,14 +47,16 @@ def pin_result_settings(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors can reach: the session's ``spark.checkpoint.dir``.
 
-    A temporary folder is used only where the session names none, which is the
-    case in single-machine tests.
+    Where the session names none, a temporary folder is used if all tasks run on this
+    machine, as in tests; on a cluster that is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         java_dir = spark.sparkContext._jsc.sc().getCheckpointDir()
         configured = java_dir.get() if java_dir.isDefined() else None
     if not configured:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="tillforge-")
         atexit.register(shutil.rmtree, configured, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", configured)
