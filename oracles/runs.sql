@@ -159,6 +159,14 @@ UNION ALL
 SELECT 'month_lost', count(*) FROM fact_month n WHERE NOT EXISTS (
   SELECT 1 FROM fact_month o WHERE o.tx_month <> '1998-07' AND o.transaction_id = n.transaction_id AND o.product_sk = n.product_sk)
 
+-- name: reload_corrected
+-- uses: fact_month
+SELECT strftime(t, '%Y-%m') AS tx_month, CAST(CASE kind WHEN 2 THEN 1 ELSE 2 END AS BIGINT) AS audit_run_id, count(*) AS rows,
+  CAST(sum(quantity + CASE kind WHEN 0 THEN 1 ELSE 0 END) AS BIGINT) AS quantity
+FROM (SELECT *, day(transaction_time) % 3 AS kind,
+  transaction_time + CASE day(transaction_time) % 3 WHEN 1 THEN INTERVAL 31 DAY ELSE INTERVAL 0 DAY END AS t FROM fact_month)
+GROUP BY 1, 2
+
 -- name: stream_validate_feed
 -- uses: flagged
 SELECT transaction_id, store_id, product_id, employee_id, customer_id, quantity, unit_price, discount_amount, transaction_time, error_codes FROM flagged

@@ -54,6 +54,9 @@ NEGATIVE_PRICE = "VAL002_NEGATIVE_PRICE"
 DUPLICATE = "VAL003_DUPLICATE_PRIMARY_KEY"
 NEGATIVE_QUANTITY = "VAL005_NEGATIVE_QUANTITY"
 FUTURE_TIME = "VAL006_FUTURE_TRANSACTION_DATE"
+MALFORMED_LINE = "VAL_MALFORMED_LINE"
+QUANTITY_RANGE = "VAL_QUANTITY_OUT_OF_RANGE"
+AMOUNT_RANGE = "VAL_AMOUNT_OUT_OF_RANGE"
 NULL_KEY = "VAL_NULL_PRIMARY_KEY"
 INVALID_EMAIL = "VAL_INVALID_EMAIL"
 FK_NOT_FOUND = "VAL_FK_NOT_FOUND"

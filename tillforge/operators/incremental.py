@@ -100,7 +100,9 @@ def registry_state(events: DataFrame) -> DataFrame:
 def run_manifest(
     classified: DataFrame, run_id: str, strategy: str = "FILE_HASH", extra: list[str] | None = None
 ) -> DataFrame:
-    """One manifest row per evaluated file; needs ``rows_in_file``."""
+    """One manifest row per evaluated file; needs ``rows_in_file``. A column ``rows_written``
+    holds what a load really wrote; without it, every row of a loaded file counts."""
+    written = F.col("rows_written" if "rows_written" in classified.columns else "rows_in_file")
     load = F.col("classification").isin("NEW", "MODIFIED", "REPROCESS")
     return classified.select(
         F.lit(run_id).alias("run_id"),
@@ -108,7 +110,7 @@ def run_manifest(
         F.col("file_name").alias("filename"),
         "file_hash",
         F.col("rows_in_file").alias("rows_read"),
-        F.when(load, F.col("rows_in_file")).otherwise(0).alias("rows_loaded"),
+        F.when(load, written).otherwise(0).alias("rows_loaded"),
         F.lit(strategy).alias("processing_strategy"),
         "classification",
         F.lit(C.APPLICATION_VERSION).alias("pipeline_version"),

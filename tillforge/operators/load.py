@@ -6,8 +6,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillforge import constants as C
+from tillforge.functions.text import clean_text
 
 MONTH = "tx_month"
+#: Identity of a business line, from its natural keys.
+LINE = "line_key"
 
 
 def month_of(time: Column) -> Column:
@@ -23,6 +26,13 @@ def with_month(fact: DataFrame) -> DataFrame:
     return fact.withColumn(MONTH, month_of(F.col("transaction_time")))
 
 
+def line_key() -> Column:
+    """The identity of a feed line: transaction and product as they are cleaned for the
+    fact, so that spellings of one key are one line; a missing key equals a missing key."""
+    parts = [F.coalesce(F.upper(clean_text(F.col(c))), F.lit("\x00")) for c in C.DUPLICATE_KEY]
+    return F.unhex(F.md5(F.concat_ws("\x1f", *parts)))
+
+
 def append_facts(fact: DataFrame, path: str, max_records_per_file: int = 0) -> None:
     """Append to the month-partitioned fact table.
 
@@ -30,12 +40,18 @@ def append_facts(fact: DataFrame, path: str, max_records_per_file: int = 0) -> N
     in every month. ``rebalance`` also splits months that are too large for one task.
     Inside a file rows are sorted by store, so that store filters skip row groups.
     """
+    _write_months(fact, path, max_records_per_file, "append")
+
+
+def _write_months(fact: DataFrame, path: str, max_records_per_file: int, mode: str) -> None:
+    columns = [*C.FACT_COLUMNS, *(c for c in (LINE,) if c in fact.columns)]
     (
-        with_month(fact.select(*C.FACT_COLUMNS))
+        with_month(fact.select(*columns))
         .hint("rebalance", MONTH)
         .sortWithinPartitions(MONTH, "store_sk")
-        .write.mode("append")
+        .write.mode(mode)
         .partitionBy(MONTH)
+        .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", max_records_per_file)
         .parquet(path)
     )
@@ -114,6 +130,57 @@ def not_loaded_yet(fact: DataFrame, loaded: DataFrame, months: list[str] | None
     return new.join(old, same_line, "left_anti")
 
 
+KEYED_SCHEMA = f"{FACT_SCHEMA}, {LINE} binary"
+
+
+def line_changes(fact: DataFrame, stored: DataFrame) -> DataFrame:
+    """``fact`` rows with ``change`` (ADDED, REPLACED, UNCHANGED) and ``old_months``, the
+    months in which the table holds other versions of the line. Both carry LINE; ``stored``
+    is limited by the caller to the months that can hold the lines."""
+    values = [c for c in C.FACT_COLUMNS if c != "audit_run_id"]
+    old = stored.select(F.col(LINE).alias("_line"), F.col(MONTH).alias("_month"), *(F.col(c).alias(f"_old_{c}") for c in values))
+    met = fact.join(old, F.col(LINE) == F.col("_line"), "left")
+    same = F.lit(True)
+    for c in values:
+        same = same & F.col(c).eqNullSafe(F.col(f"_old_{c}"))
+    # A line has one version in the table, or a few where a load broke off.
+    versions = met.groupBy(LINE).agg(
+        F.collect_set(F.when(~same, F.col("_month"))).alias("old_months"),
+        F.coalesce(F.bool_or(same & F.col("_line").isNotNull()), F.lit(False)).alias("_same"),
+        F.count("_line").alias("_versions"),
+    )
+    change = F.when(F.col("_versions") == 0, "ADDED").when(F.col("_same") & (F.col("_versions") == 1), "UNCHANGED")
+    return fact.join(versions, LINE).withColumn("change", change.otherwise("REPLACED")).drop("_same", "_versions")
+
+
+def replace_facts(spark: SparkSession, changes: DataFrame, path: str, staging: str) -> None:
+    """Bring the table to the state of ``changes``, a stored result of :func:`line_changes`.
+
+    Months that hold old versions are written anew without them, from a staged copy and
+    before the rest is appended, so that a load repeated after a failure ends the same.
+    """
+    written = changes.filter("change <> 'UNCHANGED'")
+    replaced = changes.filter("change = 'REPLACED'")
+    months = [r[0] for r in replaced.select(F.explode("old_months")).distinct().collect()]  # calendar months: few
+    if months:
+        stored = spark.read.schema(KEYED_SCHEMA).parquet(path).filter(F.col(MONTH).isin(months))
+        stay = stored.join(replaced.select(LINE), LINE, "left_anti").select(*C.FACT_COLUMNS, LINE)
+        here = written.filter(F.col(MONTH).isin(months)).select(*C.FACT_COLUMNS, LINE)
+        stay.unionByName(here).write.mode("overwrite").parquet(staging)
+        emptied = set(months) - {r[0] for r in with_month(spark.read.parquet(staging)).select(MONTH).distinct().collect()}
+        _write_months(spark.read.parquet(staging), path, 0, "overwrite")
+        _empty_months(spark, path, emptied)
+    append_facts(written.filter(~F.col(MONTH).isin(months)), path)
+
+
+def _empty_months(spark: SparkSession, path: str, months: set[str]) -> None:
+    """Dynamic overwrite leaves a month alone that gets no rows, so its folder is removed."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    for month in months:
+        folder = hadoop(f"{path}/{MONTH}={month}")
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def reconciliation(flagged: DataFrame, fact: DataFrame, loaded: DataFrame, run_id: str) -> DataFrame:
     """Row counts of all stages side by side: nothing lost, nothing invented."""
     from tillforge.sources.retail import union_all

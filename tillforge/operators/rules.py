@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillforge import constants as C
-from tillforge.functions.text import BLANK, parse_number, parse_timestamp, strip_blank
+from tillforge.functions.money import AMOUNT, MONEY
+from tillforge.functions.text import BLANK, NUMBER, clean_text, parse_number, parse_timestamp, strip_blank
 
 DATA_TYPE = "DataTypeValidator"
 BUSINESS = "BusinessRuleValidator"
@@ -92,6 +93,52 @@ def discount_rule() -> Rule:
     )
 
 
+def _fits_not(text: Column, kind: str) -> Column:
+    """A number in plain form that the type cannot hold."""
+    number = text.rlike(NUMBER)
+    return F.coalesce(number & F.trim(text).try_cast(kind).isNull(), F.lit(False))
+
+
+def range_rules() -> list[Rule]:
+    """Quantities and amounts that the fact columns cannot hold, of a parsed feed."""
+    price, discount = F.col("unit_price"), clean_text(F.col("discount_amount"))
+    quantity = F.coalesce(F.col("_quantity").try_cast("int"), F.lit(1))
+
+    def money(text: Column) -> Column:
+        return F.coalesce(F.when(text.rlike(NUMBER), F.trim(text).try_cast(MONEY)), F.lit(0).cast(MONEY))
+
+    net = quantity * money(price) - money(discount)
+    return [
+        Rule(
+            C.QUANTITY_RANGE,
+            BUSINESS,
+            "ERROR",
+            "quantity is too large",
+            F.coalesce(F.col("_quantity").isNotNull() & F.col("_quantity").try_cast("int").isNull(), F.lit(False)),
+        ),
+        Rule(
+            C.AMOUNT_RANGE,
+            BUSINESS,
+            "ERROR",
+            "an amount of the line is too large",
+            _fits_not(price, MONEY) | _fits_not(discount, MONEY) | net.try_cast(AMOUNT).isNull(),
+        ),
+    ]
+
+
+def malformed_rule() -> Rule:
+    """Needs the ``_corrupt`` column of :func:`tillforge.sources.feed_files.scan_feed`."""
+    return Rule(C.MALFORMED_LINE, DATA_TYPE, "ERROR", "line has another number of fields than its header", F.col("_corrupt").isNotNull())
+
+
+def null_key_rule() -> Rule:
+    """Optional feed rule: a line needs its transaction and its product."""
+    return Rule(
+        C.NULL_KEY, DATA_TYPE, "ERROR", "transaction_id and product_id must not be empty",
+        null_key(F.col("transaction_id")) | null_key(F.col("product_id")),
+    )
+
+
 # --- entity contracts -------------------------------------------------------
 
 # Longest text each column may hold.

@@ -74,8 +74,8 @@ def enrich(df: DataFrame) -> DataFrame:
     )
 
 
-def fact_projection(resolved: DataFrame, audit_run_id: int) -> DataFrame:
-    """The twelve fact columns, typed and in loading order."""
+def fact_projection(resolved: DataFrame, audit_run_id: int, extra: list[str] | None = None) -> DataFrame:
+    """The twelve fact columns, typed and in loading order, and ``extra`` ones as they are."""
     typed = resolved.withColumns(
         {
             "transaction_time": parse_timestamp(F.col("transaction_time")),
@@ -83,7 +83,7 @@ def fact_projection(resolved: DataFrame, audit_run_id: int) -> DataFrame:
             "audit_run_id": F.lit(audit_run_id).cast("bigint"),
         }
     )
-    return typed.select(*C.FACT_COLUMNS)
+    return typed.select(*C.FACT_COLUMNS, *(extra or []))
 
 
 def clean_documents(documents: DataFrame) -> DataFrame:

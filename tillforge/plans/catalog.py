@@ -249,6 +249,20 @@ def rule_hits(spark, base):
     return validate.rule_hits(validate.flag_feed(feed(spark, base), FEED_ORDER, AS_OF, data_rules), data_rules)
 
 
+@query
+def range_rule_hits(spark, base):
+    """Quantities and prices of some lines are blown up by zeros, to and beyond the bounds."""
+    last = F.substring("transaction_id", -1, 1)
+    large = feed(spark, base).withColumns(
+        {
+            "quantity": F.when(last == "3", F.concat("quantity", F.lit("00000000"))).when(last == "5", F.concat("quantity", F.lit("000000"))).otherwise(F.col("quantity")),
+            "unit_price": F.when(last == "7", F.concat(F.lit("9000"), F.col("unit_price"))).otherwise(F.col("unit_price")),
+        }
+    )
+    limits = rules.range_rules()
+    return validate.rule_hits(validate.flag_feed(large, FEED_ORDER, AS_OF, limits), limits)
+
+
 @query
 def contract_violations_sale(spark, base):
     return rules.contract_violations(feed(spark, base), "sale")
@@ -852,6 +866,29 @@ def idempotent_reload(spark, base):
     )
 
 
+@query
+def reload_corrected(spark, base):
+    """The whole fact table is delivered again: a third of its lines with another quantity,
+    a third in another month. Rows and quantity per month afterwards."""
+    rows = resolved(spark, base, rows=validate.passed_rows(judged(spark, base)))
+    lines = transform.fact_projection(rows, AUDIT_RUN_ID, extra=["product_id"]).withColumn(load.LINE, load.line_key())
+    path, changed = work_dir(spark, "corrected"), work_dir(spark, "changes")
+    load.append_facts(lines, path)
+    stored = spark.read.schema(load.KEYED_SCHEMA).parquet(path)
+    kind = F.pmod(F.dayofmonth("transaction_time"), F.lit(3))
+    sent = stored.withColumns(
+        {
+            "quantity": F.when(kind == 0, F.col("quantity") + 1).otherwise(F.col("quantity")),
+            "transaction_time": F.when(kind == 1, F.col("transaction_time") + F.expr("INTERVAL 31 DAY")).otherwise(F.col("transaction_time")),
+            "audit_run_id": F.lit(AUDIT_RUN_ID + 1).cast("bigint"),
+        }
+    )
+    load.line_changes(load.with_month(sent), stored).write.parquet(changed)
+    load.replace_facts(spark, spark.read.parquet(changed), path, work_dir(spark, "rewritten"))
+    after = spark.read.schema(load.KEYED_SCHEMA).parquet(path)
+    return after.groupBy(load.MONTH, "audit_run_id").agg(F.count(F.lit(1)).alias("rows"), F.sum("quantity").alias("quantity"))
+
+
 # --- streaming ----------------------------------------------------------------------------
 
 

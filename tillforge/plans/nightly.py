@@ -2,8 +2,9 @@
 
 Write order is the commit protocol: bronze, silver, quarantine, facts, then audit rows,
 and the file registry last. A file counts as processed only once its registry row is
-there; a run that breaks before that is simply run again, and the anti join at load time
-keeps its facts from being added twice.
+there; a run that breaks before that is simply run again, and lines that stand in the
+table unchanged are not added twice. Lines of corrected and replayed files replace their
+old versions.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tillforge import constants as C
 from tillforge.functions.text import parse_timestamp
-from tillforge.operators import audit, incremental, keys, load, transform, validate
+from tillforge.operators import audit, incremental, keys, load, rules, transform, validate
 from tillforge.operators.scorecard import scorecard
 from tillforge.sources import feed_files
 
@@ -31,6 +32,7 @@ AUDIT_SCHEMA = (
     "execution_status string, started_at timestamp_ntz, completed_at timestamp_ntz, application_version string, "
     "error_summary string"
 )
+FILE_MONTHS_SCHEMA = "file_name string, tx_month string, run_id string"
 LOADED = ["NEW", "MODIFIED", "REPROCESS"]
 
 
@@ -41,11 +43,20 @@ class Run:
     run_id: str
     batch_id: str
     as_of: str
-    audit_run_id: int = 0
+    audit_run_id: int
     replay: bool = False
     max_error_percentage: float = C.MAX_ERROR_PERCENTAGE
 
 
+class NotReconciled(RuntimeError):
+    """The table does not hold what passed validation; the files stay unprocessed."""
+
+
+def feed_rules(as_of: str) -> list[rules.Rule]:
+    """What a run checks unless it is given other rules."""
+    return [rules.malformed_rule(), *rules.feed_rules(as_of), *rules.range_rules(), rules.duplicate_rule()]
+
+
 class ValidationFailed(ValueError):
     """Too many bad rows; they are in the quarantine and nothing was loaded."""
 
@@ -89,32 +100,38 @@ def log_run(
     spark.createDataFrame([row], AUDIT_SCHEMA).coalesce(1).write.mode("append").parquet(f"{meta}/etl_audit_log")
 
 
-def write_manifest(files: DataFrame, flagged: DataFrame | None, meta: str, run: Run) -> None:
+def write_manifest(files: DataFrame, flagged: DataFrame | None, changes: DataFrame | None, meta: str, run: Run) -> None:
     """One row per evaluated file: its class, its rows read, loaded and rejected."""
     def local(column: str):
         return F.regexp_replace(column, "^file:/+", "file:/")
 
-    files = files.withColumn("path", local("path"))
+    counts = ["rows_in_file", "rows_rejected", "rows_written"]
+    counted = files.withColumn("path", local("path"))
     if flagged is None:
-        zero = F.lit(0).cast("bigint")
-        counted = files.withColumns({"rows_in_file": zero, "rows_rejected": zero})
+        counted = counted.withColumns({c: F.lit(0).cast("bigint") for c in counts})
     else:
         rows = flagged.groupBy(local("source_file").alias("path")).agg(
             F.count(F.lit(1)).alias("rows_in_file"), F.count_if("failed").alias("rows_rejected")
         )
-        counted = files.join(rows, "path", "left").fillna(0, ["rows_in_file", "rows_rejected"])
-    manifest = incremental.run_manifest(counted, run.run_id, extra=["rows_rejected"])
-    manifest.withColumn("rows_loaded", F.col("rows_loaded") - F.col("rows_rejected")).write.mode(
-        "overwrite"
-    ).parquet(f"{meta}/manifest/run_id={run.run_id}")
+        written = changes.groupBy(local("source_file").alias("path")).agg(F.count_if(F.col("change") != "UNCHANGED").alias("rows_written"))
+        counted = counted.join(rows, "path", "left").join(written, "path", "left").fillna(0, counts)
+    incremental.run_manifest(counted, run.run_id, extra=["rows_rejected"]).write.mode("overwrite").parquet(
+        f"{meta}/manifest/run_id={run.run_id}"
+    )
 
 
 def run_feed(
-    spark: SparkSession, feed_dir: str, warehouse: str, dims: dict[str, DataFrame], run: Run
+    spark: SparkSession,
+    feed_dir: str,
+    warehouse: str,
+    dims: dict[str, DataFrame],
+    run: Run,
+    run_rules: list[rules.Rule] | None = None,
 ) -> dict:
     """Process what is new in ``feed_dir``; returns the run's figures.
 
-    ``dims`` are the current dimension tables. Only one-row figures and the list of new
+    ``dims`` are the current dimension tables, ``run_rules`` the rules in place of
+    :func:`feed_rules`. Only one-row figures and the list of new
     file names reach the driver.
     """
     started = _clock()
@@ -129,22 +146,23 @@ def run_feed(
     # One name per store file; Spark lists the same names on the driver when it reads them.
     paths = [r.path for r in files.filter(F.col("classification").isin(LOADED)).select("path").toLocalIterator()]
     if not paths:
-        write_manifest(files, None, meta, run)
+        write_manifest(files, None, None, meta, run)
         return {"run_id": run.run_id, "status": "SKIPPED", "files": 0}
 
-    missing = [c for c in C.REQUIRED_COLUMNS if c not in feed_files.header_columns(spark, paths)]
+    missing = feed_files.lacking_columns(spark, paths)
     if missing:
         raise validate.SchemaError(f"{C.MISSING_COLUMN}: {', '.join(missing)}")
 
     # Bronze to silver: judge every row once and keep the verdicts.
     bronze = feed_files.land_feed(spark, paths, f"{warehouse}/bronze/feed/run_id={run.run_id}")
-    rules = validate.default_rules(run.as_of)
-    verdicts = validate.flag_feed(bronze, feed_files.FILE_ORDER, run.as_of, rules)
+    run_rules = run_rules or feed_rules(run.as_of)
+    bronze = bronze.withColumn(load.LINE, load.line_key())
+    verdicts = validate.flag_feed(bronze, feed_files.FILE_ORDER, run.as_of, run_rules, keys=[load.LINE])
     verdicts.write.mode("overwrite").partitionBy("failed").parquet(silver)
     flagged = spark.read.schema(verdicts.schema).parquet(silver)
 
     validate.write_quarantine(
-        flagged, rules, f"{warehouse}/quarantine", run.run_id, F.col("source_file"), run.as_of, mode="overwrite"
+        flagged, run_rules, f"{warehouse}/quarantine", run.run_id, F.col("source_file"), run.as_of, mode="overwrite"
     )
     report = validate.validation_report(flagged, {"is_valid": run.max_error_percentage}).first()
     if not report.is_valid:
@@ -152,27 +170,42 @@ def run_feed(
         log_run(spark, meta, feed_dir, run, started, "ROW_VALIDATION", report, 0, error)
         raise ValidationFailed(error)
 
-    # Silver to gold.
-    enriched = transform.enrich(transform.normalize(transform.clean(validate.passed_rows(flagged))))
+    # Silver to gold. The months in question are those of the lines and those in which
+    # earlier versions of the same files were loaded.
+    passed = validate.passed_rows(flagged, [*C.FEED_COLUMNS, load.LINE, "source_file"])
+    enriched = transform.enrich(transform.normalize(transform.clean(passed, C.FEED_COLUMNS)))
     resolved = keys.resolve_keys(enriched, dims)
+    fact = transform.fact_projection(resolved, run.audit_run_id, extra=[load.LINE, "source_file"])
     staged = f"{warehouse}/silver/facts/run_id={run.run_id}"
-    load.with_month(transform.fact_projection(resolved, run.audit_run_id)).write.mode("overwrite").parquet(staged)
+    load.with_month(fact).write.mode("overwrite").parquet(staged)
     fact = spark.read.parquet(staged)
-    months = [r[0] for r in fact.select(load.MONTH).distinct().collect()]  # calendar months: few
-    stored = read_or_empty(spark, facts_path, load.FACT_SCHEMA)
-    load.append_facts(load.not_loaded_yet(fact, stored, months).select(*C.FACT_COLUMNS), facts_path)
+    named = files.select("file_name").distinct()
+    earlier = read_or_empty(spark, f"{meta}/file_months", FILE_MONTHS_SCHEMA).join(named, "file_name", "left_semi")
+    own = fact.select(F.element_at(F.split("source_file", "/"), -1).alias("file_name"), load.MONTH).distinct()
+    # Calendar months: few. Collected before this run's own are written over those of an
+    # earlier attempt.
+    months = [r[0] for r in own.select(load.MONTH).union(earlier.select(load.MONTH)).distinct().collect()]
+    own.write.mode("overwrite").parquet(f"{meta}/file_months/run_id={run.run_id}")
+    stored = read_or_empty(spark, facts_path, load.KEYED_SCHEMA).filter(F.col(load.MONTH).isin(months))
+    changes_path = f"{warehouse}/silver/changes/run_id={run.run_id}"
+    load.line_changes(fact, stored).write.mode("overwrite").parquet(changes_path)
+    changes = spark.read.parquet(changes_path)
+    load.replace_facts(spark, changes, facts_path, f"{warehouse}/silver/rewritten/run_id={run.run_id}")
 
     # Figures, then the registry as commit marker.
-    loaded = load.read_facts(spark, facts_path).filter(F.col(load.MONTH).isin(months))
-    mine = loaded.filter(F.col("audit_run_id") == run.audit_run_id)
-    balance = load.reconciliation(flagged, fact, mine, run.run_id).first()
+    held = spark.read.schema(load.KEYED_SCHEMA).parquet(facts_path).filter(F.col(load.MONTH).isin(months))
+    balance = load.reconciliation(flagged, fact, held.join(fact.select(load.LINE), load.LINE, "left_semi"), run.run_id).first()
+    kinds = changes.agg(*[F.count_if(F.col("change") == k).alias(k.lower()) for k in ("ADDED", "REPLACED", "UNCHANGED")]).first()
+    if not balance.is_reconciled:
+        error = f"{balance.loaded_rows} of {balance.validated_rows} valid rows are in the table"
+        log_run(spark, meta, feed_dir, run, started, "LOAD", report, kinds.added + kinds.replaced, error)
+        raise NotReconciled(error)
     score = scorecard(flagged, limit=run.max_error_percentage).first()
-    marks = incremental.store_watermark(
-        validate.passed_rows(flagged), parse_timestamp(F.col("transaction_time"))
-    ).withColumn("run_id", F.lit(run.run_id))
-    marks.write.mode("append").parquet(f"{meta}/store_watermark")
-    write_manifest(files, flagged, meta, run)
-    log_run(spark, meta, feed_dir, run, started, "COMPLETED", report, balance.loaded_rows, "")
+    cleaned = transform.normalize(transform.clean(passed, C.FEED_COLUMNS))
+    marks = incremental.store_watermark(cleaned, parse_timestamp(F.col("transaction_time")))
+    marks.write.mode("overwrite").parquet(f"{meta}/store_watermark/run_id={run.run_id}")
+    write_manifest(files, flagged, changes, meta, run)
+    log_run(spark, meta, feed_dir, run, started, "COMPLETED", report, kinds.added + kinds.replaced, "")
     now = F.lit(run.as_of).cast("timestamp_ntz")
     files.filter(F.col("classification").isin(LOADED)).select(
         "file_name",
@@ -184,6 +217,7 @@ def run_feed(
     ).write.mode("append").parquet(f"{meta}/file_registry")
     return {
         **balance.asDict(),
+        **kinds.asDict(),
         "status": "SUCCESS",
         "files": len(paths),
         "overall_quality_score": score.overall_quality_score,
