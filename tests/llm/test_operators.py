@@ -172,6 +172,22 @@ def test_lines_against_all_pairs(spark, none):
     assert line_dedup.judged_lines(none).count() == 0
 
 
+def test_edited_short_lines_against_all_pairs(spark):
+    """The plain form here has a shingle length of its own."""
+    rng = random.Random(11)
+    lines = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n)) for n in range(20, 61) for _ in range(3)]
+    lines = ["<" + x[1:-1] + ">" for x in lines]
+    edited = [x[: len(x) // 2] + "7" + x[len(x) // 2 + 1 :] for x in lines]
+    sets = [[{x[i : i + 5] for i in range(len(x) - 4)} for x in (a, b)] for a, b in zip(lines, edited)]
+    alike = [100 * len(a & b) >= 75 * len(a | b) for a, b in sets]
+    assert all(y for x, y in zip(lines, alike) if len(x) >= 39)
+    docs = [(0, "\n".join(lines)), (1, "\n".join(edited))]
+    got = line_dedup.judged_lines(spark.createDataFrame(docs, "doc_id bigint, text string")).filter("not kept").collect()
+    linked = {r.line_no for r in got}
+    assert all(r.doc_id == 1 and (r.kept_doc_id, r.kept_line_no) == (0, r.line_no) and alike[r.line_no] for r in got)
+    assert len(linked) >= 0.95 * sum(alike)
+
+
 def test_removed_lines_leave_the_rest_of_the_row(spark):
     table = [(i, t, "s", 0, "extra") for i, t in lines_fixture()]
     docs = spark.createDataFrame(table, "doc_id bigint, text string, source string, n_chars bigint, mark string")
