@@ -403,3 +403,16 @@ def test_licences_in_other_dress(spark, none):
     want = Counter({(1, "MIT"): 2, (2, "MIT"): 1, (3, None): 1, (4, None): 1, (5, None): 1, (6, None): 1, (7, "MIT-notice"): 1, (None, "MIT"): 1})
     assert rows(got, "doc_id", "licence_id") == want
     assert licences.scan(none, licences.known_digests(spark)).count() == 0
+
+
+def test_full_licence_texts(spark):
+    """Texts as their files give them, and in the forms projects use."""
+    stored = {f.name.removesuffix(".txt"): f.read_text() for f in licences.files("tillforge.llm").joinpath("licence_texts").iterdir()}
+    assert {"Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "CC0-1.0", "CC-BY-SA-4.0"} <= set(stored)
+    bsd = stored["BSD-3-Clause"].split("\n", 1)[1].replace("Copyright (c) <year> <owner>", "Copyright (c) 2011, A. Person\nAll rights reserved.")
+    gpl = stored["GPL-3.0"].split("How to Apply")[0].rstrip()
+    mit = licences.KNOWN["MIT"].split("\n", 1)[1]
+    cases = [*((k.split("@")[0], t) for k, t in stored.items()), ("BSD-3-Clause", bsd), ("GPL-3.0", gpl), ("MIT", mit), (None, gpl[:9000])]
+    frame = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(cases)], "doc_id bigint, text string")
+    got = {r.doc_id: r.licence_id for r in licences.scan(frame, licences.known_digests(spark)).collect()}
+    assert got == {i: k for i, (k, _) in enumerate(cases)}

@@ -3,7 +3,8 @@
 A text is brought to a canonical form: lower case, equivalent spellings, copyright lines,
 list marks and punctuation taken out, white space collapsed. The SHA-256 digest of the
 canonical form of a whole text is joined to the digests of known licence texts, which go
-through the same expressions.
+through the same expressions. Full texts lie in ``licence_texts``, one file a text, named by
+licence and, after an @, edition.
 
 Defined cases: null and empty texts, and texts of copyright lines only, have no digest and
 match nothing; a text known under several ids matches the smallest; repeated documents
@@ -12,6 +13,9 @@ are judged one by one; extra columns are ignored; no known texts, no match.
 
 from __future__ import annotations
 
+import re
+from importlib.resources import files
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,7 +41,7 @@ SPELLINGS = {
     "utilisation": "utilization",
 }
 
-# Texts of well-known licences and notices.
+# Texts of short licences and notices; the longer ones are files.
 KNOWN = {
     "Apache-2.0-notice": "Licensed under the Apache License, Version 2.0.",
     "CC-BY-NC-4.0-notice": "Licensed under CC BY-NC 4.0.",
@@ -106,9 +110,37 @@ def digest(text: Column) -> Column:
     return F.nullif(F.sha2(canonical(text), 256), F.sha2(F.lit(""), 256))
 
 
+#: Where the terms end and advice on applying them may follow.
+TERMS_END = r"(?m)^[ \t]*END OF TERMS AND CONDITIONS[ \t]*$"
+ADVICE = r"(?m)^[ \t]*(?:ADDENDUM: How to use this License|(?:Appendix: )?How to Apply These Terms)"
+TITLE = r"\A\s*(?:MIT|ISC|zlib|BSD [23]-Clause) License[ \t]*\n"
+
+
+def editions(text: str) -> set[str]:
+    """A whole licence text as it is usually given: with and without title, reserved rights,
+    numbers of clauses, and advice after the terms."""
+    out = {text}
+    for stop in (TERMS_END, ADVICE):
+        found = re.search(stop, text)
+        if found:
+            out |= {text[: found.start()], text[: found.end()] if stop == TERMS_END else text[: found.start()]}
+    out |= {re.sub(TITLE, "", t) for t in out}
+    out |= {t.replace("Redistribution and use in source", "All rights reserved.\n\nRedistribution and use in source", 1) for t in out}
+    if "Redistribution and use in source" in text:
+        out |= {re.sub(r"(?m)^[ \t]*All rights reserved\.[ \t]*$", "", t) for t in out}
+        out |= {re.sub(r"(?m)^[ \t]*[1-3]\.[ \t]+", "* ", t) for t in out}
+    return out
+
+
+def known_texts() -> list[tuple[str, str]]:
+    """``licence_id, text`` of all known licences and notices in their editions."""
+    stored = [(f.name.removesuffix(".txt").split("@")[0], f.read_text(encoding="utf-8")) for f in files("tillforge.llm").joinpath("licence_texts").iterdir()]
+    return sorted({(name, t) for name, text in [*KNOWN.items(), *stored] for t in editions(text)})
+
+
 def known_digests(spark: SparkSession, texts: dict[str, str] | None = None) -> DataFrame:
     """``digest, licence_id``; one row a digest."""
-    rows = list((KNOWN if texts is None else texts).items())
+    rows = known_texts() if texts is None else list(texts.items())
     known = spark.createDataFrame(rows, "licence_id string, text string").select(digest(F.col("text")).alias("digest"), "licence_id")
     return known.filter("digest is not null").groupBy("digest").agg(F.min("licence_id").alias("licence_id"))
 
