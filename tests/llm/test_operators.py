@@ -293,6 +293,17 @@ def test_contexts_disclose_unseen_identifiers(spark):
     assert got[1] == "ip:20:28" and got[100].startswith("ip:") and got[101] == ""
 
 
+def test_contexts_with_many_unseen_identifiers(spark):
+    """Of the numbers after 'call' and of the hosts after 'server' 30 % and half are unseen."""
+    docs = [(i, f"call +1 743 555 {3000 + i} today") for i in range(35)] + [(100 + i, f"call 555-{4000 + i} today") for i in range(15)]
+    docs += [(200 + i, f"reach server 10.0.0.{i} now") for i in range(20)] + [(300 + i, f"reach server node{i}-7788 now") for i in range(20)]
+    docs += [(400 + i, f"the 10.0.1.{i} the") for i in range(3)] + [(500 + i, f"the 2024-{1000 + i} the") for i in range(30)]
+    got = {r.doc_id: r.spans for r in personal_data.personal_data(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()}
+    assert all(got[100 + i] == "phone:5:13" for i in range(15))
+    assert all(got[300 + i] == f"ip:13:{22 + len(str(i))}" for i in range(20))
+    assert all(got[500 + i] == "" for i in range(30))
+
+
 def test_personal_data_of_the_given_table(spark, base):
     want = Counter((d, *brute.personal_data(t)[0]) for d, t in texts(given(spark, base, "documents")))
     assert rows(queries.op6_personal_data(spark, base), *PERSONAL) == want

@@ -2,8 +2,8 @@
 
 Base matches of four fixed kinds are the seeds. Words beside an identifier are lexical
 patterns. Patterns and instances form a graph that is scored in rounds: a pattern is as
-sure as the share of its identifiers that are known to be of its kind, an instance as sure
-as its patterns together. Sure patterns with enough different known instances turn unseen
+sure as the share of its kind among its known identifiers, an instance as sure as its
+patterns together. Sure patterns with enough different known instances turn unseen
 identifiers (tokens with digits) into further spans; base spans always stay.
 
 Positions come from marking matches: a text split at the marks has matches at odd places.
@@ -35,6 +35,9 @@ LEAST_IDENTIFIER = 6
 ROUNDS = 3
 LEAST_SUPPORT = 3
 SURE_PATTERN = 0.8
+#: Unseen identifiers do not count against a pattern, but a word beside which fewer are of its
+#: kind stands beside everything ("the", "of") and tells nothing.
+LEAST_SHARE = 0.25
 SURE_INSTANCE = 0.9
 #: Characters beside an identifier in which its neighbour words are looked for.
 REACH = 48
@@ -163,12 +166,15 @@ def discovered(occurrences: DataFrame) -> DataFrame:
     found = None
     for _ in range(ROUNDS):
         vouched = counts.select("context", "value", "n").join(known, "value")
+        own = keep(
+            vouched.groupBy("context", "kind").agg(F.sum(F.col("n") * F.col("score")).alias("sure"), F.count_distinct("value").alias("support")),
+            "pii-patterns",
+        )
         patterns = (
-            vouched.groupBy("context", "kind")
-            .agg(F.sum(F.col("n") * F.col("score")).alias("sure"), F.count_distinct("value").alias("support"))
+            own.join(own.groupBy("context").agg(F.sum("sure").alias("known")), "context")
             .join(seen, "context")
-            .withColumn("confidence", F.least(F.col("sure") / F.col("all"), F.lit(1.0)))
-            .filter((F.col("support") >= LEAST_SUPPORT) & (F.col("confidence") >= SURE_PATTERN))
+            .withColumn("confidence", F.col("sure") / F.col("known"))
+            .filter((F.col("support") >= LEAST_SUPPORT) & (F.col("confidence") >= SURE_PATTERN) & (F.col("sure") >= LEAST_SHARE * F.col("all")))
         )
         doubt = F.exp(F.sum(F.log(F.greatest(1 - F.col("confidence"), F.lit(1e-6)))))
         scored = unknown.join(patterns.select("context", "kind", "confidence"), "context").groupBy("value", "kind").agg((1 - doubt).alias("score"))
