@@ -304,6 +304,23 @@ def test_contexts_with_many_unseen_identifiers(spark):
     assert all(got[500 + i] == "" for i in range(30))
 
 
+def test_unseen_identifiers_are_whole_tokens(spark):
+    docs = [(i, f"please reach server 10.0.0.{i} now") for i in range(1, 40)]
+    docs += [(i, f"please write mail x{i}@a.example now") for i in range(50, 90)]
+    ends = {
+        100: ("please reach server ", "host-7788-a", ", now", "ip"),
+        101: ("please reach server ", "AB-12345", " now", "ip"),
+        102: ("please reach server:", "n7", " now", "ip"),
+        103: ("please write mail ", "jane@localhost", ". now", "email"),
+        104: ("please write mail <", "jane.doe", "> now", "email"),
+        105: ("please write mail ", "jürgen@büro", " now", "email"),
+    }
+    docs += [(i, before + value + after) for i, (before, value, after, _) in ends.items()] + [(110, "please write mail, now")]
+    got = {r.doc_id: r.spans for r in personal_data.personal_data(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()}
+    assert {i: got[i] for i in ends} == {i: f"{k}:{len(b)}:{len(b) + len(v)}" for i, (b, v, _, k) in ends.items()}
+    assert got[110] == ""
+
+
 def test_personal_data_of_the_given_table(spark, base):
     want = Counter((d, *brute.personal_data(t)[0]) for d, t in texts(given(spark, base, "documents")))
     assert rows(queries.op6_personal_data(spark, base), *PERSONAL) == want

@@ -4,7 +4,7 @@ Base matches of four fixed kinds are the seeds. Words beside an identifier are l
 patterns. Patterns and instances form a graph that is scored in rounds: a pattern is as
 sure as the share of its kind among its known identifiers, an instance as sure as its
 patterns together. Sure patterns with enough different known instances turn unseen
-identifiers (tokens with digits) into further spans; base spans always stay.
+identifiers (whole tokens that are no plain words) into further spans; base spans always stay.
 
 Positions come from marking matches: a text split at the marks has matches at odd places.
 
@@ -30,8 +30,12 @@ PATTERNS = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-IDENTIFIER = r"(?<![A-Za-z0-9])(?=[A-Za-z]*+[0-9])[A-Za-z0-9]++(?:[._:/-][A-Za-z0-9]++)*+"
-LEAST_IDENTIFIER = 6
+# Whole tokens up to their last letter or digit, plain words apart; a label before : or = is not part.
+TOKEN = r"[^\s\p{Z},;|<>{}\x22]"
+IDENTIFIER = (
+    r"(?<![\p{L}\p{N}])(?!\p{L}++[:=]" + TOKEN + r")(?=\p{L}*+(?:\p{N}|(?![\p{L}\p{N}])" + TOKEN + TOKEN + r"*[\p{L}\p{N}]))"
+    r"[\p{L}\p{N}](?:" + TOKEN + r"*[\p{L}\p{N}])?"
+)
 ROUNDS = 3
 LEAST_SUPPORT = 3
 SURE_PATTERN = 0.8
@@ -70,7 +74,7 @@ def _valid(kind: str, value: Column) -> Column:
 
 def _could_hold(kind: str, text: Column) -> Column:
     """A cheap look that spares most texts the pattern."""
-    return {"email": text.contains("@"), "phone": text.contains("+")}.get(kind, text.rlike("[0-9]"))
+    return {"email": text.contains("@"), "phone": text.contains("+"), "identifier": F.lit(True)}.get(kind, text.rlike("[0-9]"))
 
 
 def _parts(text: Column, kind: str, pattern: str) -> Column:
@@ -129,7 +133,7 @@ def _looked_through(documents: DataFrame) -> DataFrame:
     rows = rows.select("doc_id", "mark", *(_located(F.col(k)).alias(k) for k in patterns))
     seeds = [F.transform(_only_valid(kind), _span(kind, rank)) for rank, kind in enumerate(KINDS)]
     return rows.select(
-        "doc_id", "mark", F.array_sort(F.concat(*seeds)).alias("seeds"), F.filter("identifier", lambda f: F.length(f["value"]) >= LEAST_IDENTIFIER).alias("unseen")
+        "doc_id", "mark", F.array_sort(F.concat(*seeds)).alias("seeds"), F.col("identifier").alias("unseen")
     )
 
 
