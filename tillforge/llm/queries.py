@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tillforge.llm import hard_negatives as negatives
+from tillforge.llm import prefix_trie as tries
+from tillforge.llm import url_filters as urls
 from tillforge.llm.chat import chat_digests
 from tillforge.llm.decontamination import contamination
 from tillforge.llm.licences import known_digests, scan
@@ -65,6 +68,20 @@ def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(read(spark, sf_dir, "documents"), known_digests(spark))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tries.conversation_trie(read(spark, sf_dir, "conversations"))
+
+
+def op12_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.filter_urls(read(spark, sf_dir, "pages"), urls.standard_rules(spark))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Anchors: every vector whose id is divisible by 50; candidates: all others."""
+    vectors = negatives.relabelled(read(spark, sf_dir, "embeddings"))
+    return negatives.hard_negatives(vectors, negatives.is_anchor_of_query())
+
+
 OPERATORS = (
     op1_decontamination,
     op2_toxicity,
@@ -76,6 +93,9 @@ OPERATORS = (
     op8_neighbours,
     op9_packing,
     op10_licences,
+    op11_prefix_trie,
+    op12_url_filters,
+    op13_hard_negatives,
 )
 
 
@@ -86,4 +106,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (*OPERATORS, pipeline)}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op11_prefix_trie": tries.ORACLE,
+    "op12_url_filters": urls.ORACLE,
+    "op13_hard_negatives": negatives.ORACLE,
+}
