@@ -104,7 +104,8 @@ def test_tries_that_diverge_inside_and_between_blocks(spark, seed):
     assert rows(trie_of(spark, given)) == plain_trie(given)
 
 
-def test_very_long_conversations_that_differ_at_the_end(spark):
+def test_long_conversations_of_several_spans_that_differ_at_the_end(spark, monkeypatch):
+    monkeypatch.setattr(prefix_trie, "SPAN", 16)
     long = 2 * prefix_trie.SPAN + 3
     given = [(c, t, "u", f"t{t % 7}" if t < long - 2 or c == 0 else f"c{c}") for c in (0, 1, 4) for t in range(long)]
     given += [(5, t, "u", f"t{t % 7}") for t in range(long)]
