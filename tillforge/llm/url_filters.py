@@ -124,7 +124,8 @@ def filed(rules: DataFrame, pages: DataFrame) -> DataFrame:
     held = pages.select(
         F.explode(F.array_distinct(F.split(F.translate("url", UPPER, LOWER), "[^a-z0-9]+"))).alias("token")
     )
-    counts = held.join(wanted, "token", "left_semi").groupBy("token").agg(F.count("*").alias("urls"))
+    # Counted before the join, so that a token of most URLs is one partial row per task.
+    counts = held.groupBy("token").agg(F.count("*").alias("urls")).join(wanted, "token", "left_semi")
     options = rules.select("rule", "is_host", F.explode("tokens").alias("token")).join(counts, "token", "left")
     order = F.struct(F.coalesce("urls", F.lit(0)), -F.length("token"), "token")
     homes = options.groupBy("rule", "is_host").agg(F.min(order)["token"].alias("home"))
