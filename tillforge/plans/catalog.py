@@ -899,7 +899,8 @@ def _landed_parquet(spark, base, arrivals=4):
     into different lots. Returns the number of files in a lot as well."""
     path, rows, files = work_dir(spark, "landed"), feed(spark, base), spark.sparkContext.defaultParallelism
     by = F.col(FEED_ORDER[0])
-    cuts = rows.approxQuantile(FEED_ORDER[0], [k / arrivals for k in range(1, arrivals)], 0.01)
+    shares = [k / arrivals for k in range(1, arrivals)]
+    cuts = rows.approxQuantile(FEED_ORDER[0], shares, 0.01) if shares else []
     for low, high in zip([None, *cuts], [*cuts, None]):
         lot = rows if low is None else rows.filter(by > low)
         lot = lot if high is None else lot.filter(by <= high)
