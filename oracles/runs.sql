@@ -167,6 +167,11 @@ FROM (SELECT *, day(transaction_time) % 3 AS kind,
   transaction_time + CASE day(transaction_time) % 3 WHEN 1 THEN INTERVAL 31 DAY ELSE INTERVAL 0 DAY END AS t FROM fact_month)
 GROUP BY 1, 2
 
+-- name: reload_with_lines_left_out
+-- uses: fact_month
+SELECT tx_month, count(*) AS rows, CAST(sum(quantity) AS BIGINT) AS quantity
+FROM fact_month WHERE store_sk % 2 <> 0 OR day(transaction_time) % 2 = 0 GROUP BY tx_month
+
 -- name: stream_validate_feed
 -- uses: flagged
 SELECT transaction_id, store_id, product_id, employee_id, customer_id, quantity, unit_price, discount_amount, transaction_time, error_codes FROM flagged

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from urllib.parse import unquote
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tillforge import constants as C
@@ -40,18 +43,12 @@ def append_facts(fact: DataFrame, path: str, max_records_per_file: int = 0) -> N
     in every month. ``rebalance`` also splits months that are too large for one task.
     Inside a file rows are sorted by store, so that store filters skip row groups.
     """
-    _write_months(fact, path, max_records_per_file, "append")
-
-
-def _write_months(fact: DataFrame, path: str, max_records_per_file: int, mode: str) -> None:
-    columns = [*C.FACT_COLUMNS, *(c for c in (LINE,) if c in fact.columns)]
     (
-        with_month(fact.select(*columns))
+        with_month(fact.select(*C.FACT_COLUMNS))
         .hint("rebalance", MONTH)
         .sortWithinPartitions(MONTH, "store_sk")
-        .write.mode(mode)
+        .write.mode("append")
         .partitionBy(MONTH)
-        .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", max_records_per_file)
         .parquet(path)
     )
@@ -108,36 +105,24 @@ def batch_stats(fact: DataFrame, batch_size: int = C.BATCH_SIZE) -> DataFrame:
     )
 
 
-def not_loaded_yet(fact: DataFrame, loaded: DataFrame, months: list[str] | None = None) -> DataFrame:
-    """Facts whose line (transaction, product) is not in the table; makes a reload add nothing.
-
-    Unknown products share one key, so their lines must also agree on quantity, price and
-    time. ``months`` limits the read of the loaded table to partitions the batch touches.
-    """
-    if months is not None:
-        loaded = loaded.filter(F.col(MONTH).isin(months))
-    new, old = fact.alias("new"), loaded.alias("old")
-
-    def same(column: str) -> Column:
-        return F.col(f"new.{column}") == F.col(f"old.{column}")
-
-    same_sale = same("quantity") & same("unit_price") & same("transaction_time")
-    same_line = (
-        same("transaction_id")
-        & same("product_sk")
-        & ((F.col("new.product_sk") != C.UNKNOWN_KEY) | same_sale)
-    )
-    return new.join(old, same_line, "left_anti")
+SOURCE = "file_name"
+KEYED_SCHEMA = f"{FACT_SCHEMA}, {LINE} binary, {SOURCE} string"
+KEYED_COLUMNS = [*C.FACT_COLUMNS, LINE, SOURCE]
+COMMIT_SCHEMA = "tx_month string, load int"
+GONE = ["REPLACED", "REMOVED"]
+WRITTEN = ["ADDED", "REPLACED"]
 
 
-KEYED_SCHEMA = f"{FACT_SCHEMA}, {LINE} binary"
+def line_changes(fact: DataFrame, stored: DataFrame, corrected: DataFrame | None = None) -> DataFrame:
+    """What a load changes: ``fact`` rows with ``change`` ADDED, REPLACED or UNCHANGED, stored
+    rows with REMOVED, and ``old_months``, the months in which the table holds other versions
+    of the line.
 
-
-def line_changes(fact: DataFrame, stored: DataFrame) -> DataFrame:
-    """``fact`` rows with ``change`` (ADDED, REPLACED, UNCHANGED) and ``old_months``, the
-    months in which the table holds other versions of the line. Both carry LINE; ``stored``
-    is limited by the caller to the months that can hold the lines."""
-    values = [c for c in C.FACT_COLUMNS if c != "audit_run_id"]
+    Both sides carry LINE and SOURCE; ``stored`` is limited by the caller to the months that
+    can hold the lines. ``corrected`` lists the SOURCE files that are delivered whole again:
+    their stored lines that no file delivers are removed.
+    """
+    values = [*(c for c in C.FACT_COLUMNS if c != "audit_run_id"), SOURCE]
     old = stored.select(F.col(LINE).alias("_line"), F.col(MONTH).alias("_month"), *(F.col(c).alias(f"_old_{c}") for c in values))
     met = fact.join(old, F.col(LINE) == F.col("_line"), "left")
     same = F.lit(True)
@@ -150,35 +135,74 @@ def line_changes(fact: DataFrame, stored: DataFrame) -> DataFrame:
         F.count("_line").alias("_versions"),
     )
     change = F.when(F.col("_versions") == 0, "ADDED").when(F.col("_same") & (F.col("_versions") == 1), "UNCHANGED")
-    return fact.join(versions, LINE).withColumn("change", change.otherwise("REPLACED")).drop("_same", "_versions")
-
-
-def replace_facts(spark: SparkSession, changes: DataFrame, path: str, staging: str) -> None:
-    """Bring the table to the state of ``changes``, a stored result of :func:`line_changes`.
-
-    Months that hold old versions are written anew without them, from a staged copy and
-    before the rest is appended, so that a load repeated after a failure ends the same.
+    changes = fact.join(versions, LINE).withColumn("change", change.otherwise("REPLACED")).drop("_same", "_versions")
+    if corrected is None:
+        return changes
+    left_out = stored.join(corrected.select(SOURCE).distinct(), SOURCE, "left_semi").join(fact.select(LINE), LINE, "left_anti")
+    removed = left_out.withColumns({"old_months": F.array(MONTH), "change": F.lit("REMOVED")})
+    return changes.unionByName(removed, allowMissingColumns=True)
+
+
+def current(spark: SparkSession, path: str) -> tuple[int, list[tuple[str, int]]]:
+    """Number of the last commit of a versioned table, and the (month, load) folders it
+    consists of; 0 and none before the first."""
+    try:
+        commits = spark.read.schema(f"{COMMIT_SCHEMA}, commit int").parquet(f"{path}/commits")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return 0, []
+    last = commits.agg(F.max("commit")).first()[0] or 0
+    rows = commits.filter(F.col("commit") == last).filter("tx_month is not null").collect()
+    return last, sorted((r.tx_month, r.load) for r in rows)
+
+
+def read_table(spark: SparkSession, path: str, months: list[str] | None = None) -> DataFrame:
+    """The committed rows of a versioned table, of some ``months`` or all; only the folders
+    of these months are opened."""
+    held = [(m, n) for m, n in current(spark, path)[1] if months is None or m in months]
+    if not held:
+        return spark.createDataFrame([], KEYED_SCHEMA)
+    folders = [f"{path}/data/load={n}/{MONTH}={m}" for m, n in held]
+    rows = spark.read.schema(f"{KEYED_SCHEMA}, load int").option("basePath", f"{path}/data").parquet(*folders)
+    return rows.drop("load")
+
+
+def commit_changes(spark: SparkSession, changes: DataFrame, path: str) -> dict[str, int]:
+    """Bring a versioned table to the state of ``changes``, a stored result of
+    :func:`line_changes`; returns the rows ``written`` and the old rows ``kept`` beside them.
+
+    Nothing is written over. New rows go to a folder of their own; months that hold rows to
+    be replaced or removed are written anew there without them. One small file then names
+    the folders each month consists of, and only with it the load is there. A load that
+    breaks off before leaves a folder nobody reads, which the next load writes over.
     """
-    written = changes.filter("change <> 'UNCHANGED'")
-    replaced = changes.filter("change = 'REPLACED'")
-    months = [r[0] for r in replaced.select(F.explode("old_months")).distinct().collect()]  # calendar months: few
+    gone = changes.filter(F.col("change").isin(GONE))
+    months = [r[0] for r in gone.select(F.explode("old_months")).distinct().collect()]  # calendar months: few
+    last, held = current(spark, path)
+    new = changes.filter(F.col("change").isin(WRITTEN)).select(*KEYED_COLUMNS, F.lit(True).alias("_new"))
+    rows = new
     if months:
-        stored = spark.read.schema(KEYED_SCHEMA).parquet(path).filter(F.col(MONTH).isin(months))
-        stay = stored.join(replaced.select(LINE), LINE, "left_anti").select(*C.FACT_COLUMNS, LINE)
-        here = written.filter(F.col(MONTH).isin(months)).select(*C.FACT_COLUMNS, LINE)
-        stay.unionByName(here).write.mode("overwrite").parquet(staging)
-        emptied = set(months) - {r[0] for r in with_month(spark.read.parquet(staging)).select(MONTH).distinct().collect()}
-        _write_months(spark.read.parquet(staging), path, 0, "overwrite")
-        _empty_months(spark, path, emptied)
-    append_facts(written.filter(~F.col(MONTH).isin(months)), path)
-
-
-def _empty_months(spark: SparkSession, path: str, months: set[str]) -> None:
-    """Dynamic overwrite leaves a month alone that gets no rows, so its folder is removed."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    for month in months:
-        folder = hadoop(f"{path}/{MONTH}={month}")
-        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+        stay = read_table(spark, path, months).join(gone.select(LINE).distinct(), LINE, "left_anti")
+        rows = new.unionByName(stay.select(*KEYED_COLUMNS, F.lit(False).alias("_new")))
+    seen = Observation(f"load {last + 1}")
+    target = f"{path}/data/load={last + 1}"
+    (
+        with_month(rows)
+        .hint("rebalance", MONTH)
+        .sortWithinPartitions(MONTH, "store_sk")
+        .observe(seen, F.count_if("_new").alias("written"), F.count_if(~F.col("_new")).alias("kept"))
+        .drop("_new")
+        .write.mode("overwrite").partitionBy(MONTH).parquet(target)
+    )
+    files = spark.read.schema(KEYED_SCHEMA).parquet(target).inputFiles()
+    there = {unquote(f).split(f"/{MONTH}=")[1].split("/")[0] for f in files}
+    pointers = [(m, n) for m, n in held if m not in months] + [(m, last + 1) for m in sorted(there)]
+    # The row without a month marks a commit of an empty table.
+    spark.createDataFrame([*pointers, (None, last + 1)], COMMIT_SCHEMA).coalesce(1).write.mode("overwrite").parquet(
+        f"{path}/commits/commit={last + 1}"
+    )
+    return dict(seen.get)
 
 
 def reconciliation(flagged: DataFrame, fact: DataFrame, loaded: DataFrame, run_id: str) -> DataFrame:
@@ -186,9 +210,8 @@ def reconciliation(flagged: DataFrame, fact: DataFrame, loaded: DataFrame, run_i
     from tillforge.sources.retail import union_all
 
     def counted(df: DataFrame, **counts: Column) -> DataFrame:
-        names = ["source_rows", "validated_rows", "transformed_rows", "loaded_rows", "rejected_rows", "duplicate_rows"]
         zero = F.lit(0).cast("bigint")
-        return df.agg(*[counts.get(n, zero).alias(n) for n in names])
+        return df.agg(*[counts.get(n, zero).alias(n) for n in BALANCE])
 
     every = F.count(F.lit(1))
     stages = union_all(
@@ -204,11 +227,18 @@ def reconciliation(flagged: DataFrame, fact: DataFrame, loaded: DataFrame, run_i
             counted(loaded, loaded_rows=every),
         ]
     )
-    total = stages.agg(*[F.sum(c).alias(c) for c in stages.columns])
+    return balance_of(stages.agg(*[F.sum(c).alias(c) for c in stages.columns]), run_id)
+
+
+BALANCE = ["source_rows", "validated_rows", "transformed_rows", "loaded_rows", "rejected_rows", "duplicate_rows"]
+
+
+def balance_of(counts: DataFrame, run_id: str) -> DataFrame:
+    """The same from one row of the ``BALANCE`` counts."""
     balanced = (F.col("source_rows") == F.col("validated_rows") + F.col("rejected_rows")) & (
         F.col("validated_rows") == F.col("loaded_rows")
     )
-    return total.select(F.lit(run_id).alias("run_id"), "*", balanced.alias("is_reconciled"))
+    return counts.select(F.lit(run_id).alias("run_id"), *BALANCE, balanced.alias("is_reconciled"))
 
 
 def load_report(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 from operator import add
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillforge import constants as C
@@ -15,6 +15,17 @@ from tillforge.operators.validate import within_limit
 PERCENT = "decimal(9,2)"
 
 
+def score_counts(columns: list[str] | None = None) -> list[Column]:
+    """Rows, empty cells, rows passed and rows that repeat no line."""
+    empty_cells = reduce(add, [F.col(c).isNull().cast("int") for c in columns or C.FEED_COLUMNS])
+    return [
+        F.count(F.lit(1)).alias("n"),
+        F.coalesce(F.sum(empty_cells), F.lit(0)).alias("empty"),
+        F.count_if(~F.col("failed")).alias("passed"),
+        F.count_if(~F.col(C.DUPLICATE)).alias("lines"),
+    ]
+
+
 def scorecard(flagged: DataFrame, columns: list[str] | None = None, limit: float = C.MAX_ERROR_PERCENTAGE) -> DataFrame:
     """One row of percentages and the weighted index; an empty feed scores 100.
 
@@ -22,27 +33,23 @@ def scorecard(flagged: DataFrame, columns: list[str] | None = None, limit: float
     freshness 5. Uniqueness looks at ``transaction_id`` alone; ``uniqueness_line_pct`` is
     the same figure per basket line.
     """
-    columns = columns or C.FEED_COLUMNS
-    empty_cells = reduce(add, [F.col(c).isNull().cast("int") for c in columns])
-    counts = flagged.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.coalesce(F.sum(empty_cells), F.lit(0)).alias("empty"),
-        F.count_if(~F.col("failed")).alias("passed"),
-        (
-            F.count_distinct("transaction_id")
-            + F.coalesce(F.max(F.col("transaction_id").isNull().cast("int")), F.lit(0))
-        ).alias("ids"),
-        F.count_if(~F.col(C.DUPLICATE)).alias("lines"),
-    )
+    no_id = F.coalesce(F.max(F.col("transaction_id").isNull().cast("int")), F.lit(0))
+    ids = (F.count_distinct("transaction_id") + no_id).alias("ids")
+    return score_of(flagged.agg(*score_counts(columns), ids), len(columns or C.FEED_COLUMNS), limit)
+
+
+def score_of(counts: DataFrame, width: int = len(C.FEED_COLUMNS), limit: float = C.MAX_ERROR_PERCENTAGE) -> DataFrame:
+    """The same from one row of :func:`score_counts` and ``ids``, the number of different
+    transactions; ``width`` is the number of columns."""
     n = F.col("n")
-    cells = n * len(columns)
+    cells = n * width
     filled = cells - F.col("empty")
     valid = within_limit(n - F.col("passed"), n, limit)
     conformity = F.when(valid, 100).otherwise(80)
     # Hundredths of a percent over the common denominator "cells".
     weighted = (
         filled * 25
-        + (F.col("passed") * 30 + F.col("ids") * 20) * len(columns)
+        + (F.col("passed") * 30 + F.col("ids") * 20) * width
         + cells * (F.lit(15) + conformity / 10).cast("bigint")
     )
     full = F.lit(100).cast(PERCENT)

@@ -6,6 +6,7 @@ reports are plain filters and aggregates over those columns.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 from operator import add, or_
 
@@ -29,29 +30,32 @@ class SchemaError(ValueError):
     """The feed lacks required columns, so no row of it can be judged."""
 
 
-def first_of_repeated(feed: DataFrame, keys: list[str], order_by: list[str]) -> DataFrame:
+def first_of_repeated(feed: DataFrame, keys: list[str], order_by: list[str], ids: Callable | None = None) -> DataFrame:
     """One row per key that occurs more than once, with the order of its first row.
 
-    Counts are combined before the shuffle, so a key holding a third of all rows costs
-    one partial row per task. Only keys and order columns travel.
+    Two phases. The first counts rows per key, a hash aggregate whose partial counts make a
+    key with a third of all rows one row per task; the keys that repeat are written, so that
+    the planner knows how few they are. The second looks for the first row among the rows of
+    those keys alone. ``ids(feed)`` may give a table without rows whose write observes more.
     """
-    return (
-        feed.groupBy(*keys)
-        .agg(F.min(F.struct(*order_by)).alias("_first"), F.count(F.lit(1)).alias("_copies"))
-        .filter(F.col("_copies") > 1)
-        .drop("_copies")
-    )
+    counted = feed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_copies"))
+    often = counted.filter(F.col("_copies") > 1).select(*keys)
+    if ids is not None:
+        often = often.unionByName(ids(feed), allowMissingColumns=True).select(*keys)
+    often = write_through(often, "often").withColumnsRenamed({k: f"_key_{k}" for k in keys})
+    rows = feed.select(*keys, F.struct(*order_by).alias("_first"))
+    rows = rows.join(often, [rows[k].eqNullSafe(often[f"_key_{k}"]) for k in keys], "left_semi")
+    return rows.groupBy(*keys).agg(F.min("_first").alias("_first"))
 
 
-def mark_repeats(feed: DataFrame, keys: list[str], order_by: list[str]) -> DataFrame:
+def mark_repeats(feed: DataFrame, keys: list[str], order_by: list[str], ids: Callable | None = None) -> DataFrame:
     """Add ``_repeated``: true on all but the first row of a key; NULL keys are one key.
 
-    ``order_by`` must be a total order within a key. The repeated keys are written out
-    first, so the planner knows their true size: few of them are broadcast and the feed
-    is not shuffled at all; many are joined by key, where adaptive execution splits the
-    hot ones.
+    ``order_by`` must be a total order within a key. The first rows are written out, so the
+    planner knows their true size: few of them are broadcast and the feed is not shuffled
+    at all; many are joined by key, where adaptive execution splits the hot ones.
     """
-    firsts = write_through(first_of_repeated(feed, keys, order_by), "repeats")
+    firsts = write_through(first_of_repeated(feed, keys, order_by, ids), "repeats")
     firsts = firsts.withColumnsRenamed({k: f"_key_{k}" for k in keys})
     same_key = [feed[k].eqNullSafe(firsts[f"_key_{k}"]) for k in keys]
     later = F.coalesce(F.struct(*order_by) > F.col("_first"), F.lit(False))
@@ -72,6 +76,7 @@ def flag_feed(
     as_of: str,
     rules: list[Rule] | None = None,
     keys: list[str] | None = None,
+    ids: Callable | None = None,
 ) -> DataFrame:
     """The feed with one boolean column per rule code and ``failed``, their union.
 
@@ -83,7 +88,7 @@ def flag_feed(
         raise SchemaError(f"{C.MISSING_COLUMN}: {', '.join(missing)}")
     rules = rules or default_rules(as_of)
     if any(rule.code == C.DUPLICATE for rule in rules):
-        feed = mark_repeats(feed, keys or C.DUPLICATE_KEY, order_by)
+        feed = mark_repeats(feed, keys or C.DUPLICATE_KEY, order_by, ids)
     flagged = parse_feed(feed).withColumns({rule.code: rule.fails for rule in rules})
     # A count, not a chain of ORs: the optimizer would break the chain up and push each
     # rule below the join and into the scan, where its text parsing is repeated.
@@ -179,23 +184,36 @@ def failure_reasons(flagged: DataFrame, rules: list[Rule]) -> DataFrame:
     return rule_hits(flagged, rules).filter("hits > 0").select("code", "hits")
 
 
-def validator_results(flagged: DataFrame, rules: list[Rule]) -> DataFrame:
-    """One row per validator: checked, failed, status, severity and reason counts.
-
-    The file and schema checks come first; they judge no rows, and a feed that reaches
-    this point has passed them.
-    """
+def _validators(rules: list[Rule]) -> dict[str, list[Rule]]:
     groups: dict[str, list[Rule]] = {}
     for r in rules:
         groups.setdefault(r.validator, []).append(r)
-    counts = flagged.agg(
+    return groups
+
+
+def validator_counts(rules: list[Rule]) -> list[Column]:
+    """Rows, rows failed per validator and rows hit per rule."""
+    return [
         F.count(F.lit(1)).alias("_rows"),
         *[
             F.count_if(reduce(or_, [F.col(r.code) for r in members])).alias(name)
-            for name, members in groups.items()
+            for name, members in _validators(rules).items()
         ],
         *[F.count_if(F.col(r.code)).alias(r.code) for r in rules],
-    )
+    ]
+
+
+def validator_results(flagged: DataFrame, rules: list[Rule]) -> DataFrame:
+    """One row per validator: checked, failed, status, severity and reason counts."""
+    return validator_lines(flagged.agg(*validator_counts(rules)), rules)
+
+
+def validator_lines(counts: DataFrame, rules: list[Rule]) -> DataFrame:
+    """The same from one row of :func:`validator_counts`.
+
+    The file and schema checks come first; they judge no rows, and a feed that reaches
+    this point has passed them.
+    """
 
     def line(name: str, severity: str, failed: Column, summary: Column) -> Column:
         return F.struct(
@@ -209,7 +227,7 @@ def validator_results(flagged: DataFrame, rules: list[Rule]) -> DataFrame:
 
     none = F.lit(0).cast("bigint")
     lines = [line("FileValidator", "CRITICAL", none, F.lit("")), line("SchemaValidator", "INFO", none, F.lit(""))]
-    for name, members in groups.items():
+    for name, members in _validators(rules).items():
         summary = F.concat_ws(
             ",",
             *[
@@ -227,16 +245,27 @@ def within_limit(failed: Column, rows: Column, max_error_percentage: float) -> C
     return (failed == 0) | (failed.cast("decimal(20,0)") * 100 <= rows.cast("decimal(20,0)") * limit)
 
 
+def report_counts() -> list[Column]:
+    return [
+        F.count(F.lit(1)).alias("total_rows"),
+        F.count_if(~F.col("failed")).alias("passed_rows"),
+        F.count_if("failed").alias("failed_rows"),
+    ]
+
+
 def validation_report(flagged: DataFrame, limits: dict[str, float] | None = None) -> DataFrame:
     """One row: totals, failure rate and the gate for each named limit."""
+    return report_of(flagged.agg(*report_counts()), limits)
+
+
+def report_of(counts: DataFrame, limits: dict[str, float] | None = None) -> DataFrame:
+    """The same from one row of ``report_counts``."""
     limits = limits or {"is_valid": C.MAX_ERROR_PERCENTAGE}
     rows, failed = F.col("total_rows"), F.col("failed_rows")
-    return flagged.agg(
-        F.count(F.lit(1)).alias("total_rows"),
-        F.count_if(~F.col("failed")).alias("passed_rows"),
-        F.count_if("failed").alias("failed_rows"),
-    ).select(
-        "*",
+    return counts.select(
+        "total_rows",
+        "passed_rows",
+        "failed_rows",
         F.coalesce(percent(failed, rows), F.lit(0).cast("decimal(9,2)")).alias("failure_rate_pct"),
         *[within_limit(failed, rows, limit).alias(name) for name, limit in limits.items()],
     )
