@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from tillforge.functions.money import TOTAL, from_cents, cents, half_up
+from tillforge.functions.money import TOTAL, cents, from_cents, half_up
 from tillforge.operators.key_store import KeyStore
 from tillforge.operators.keys import assign_keys
 from tillforge.operators.load import COMMIT_SCHEMA, MONTH, current, read_table
@@ -35,10 +35,9 @@ def _numbered(spark: SparkSession, fact: DataFrame, path: str, last: int) -> Dat
     store = KeyStore(f"{path}/order_keys", ORDER_KEYS, ["transaction_id"])
     held = store.earlier(ids, last).join(ids, "transaction_id", "left_semi")
     known = write_through(held.groupBy("transaction_id").agg(F.min("order_no").alias("order_no")), "known-orders")
-    before = spark.read.schema("highest bigint, commit int").parquet(f"{path}/highest") if last else None
-    highest = (before.agg(F.max("highest")).first()[0] or 0) if last else 0
+    highest = spark.read.parquet(f"{path}/highest/commit={last}").first()[0] if last else 0
     new = assign_keys(ids.join(known, "transaction_id", "left_anti"), "transaction_id", "order_no", highest)
-    # Written before the numbers are used: a refresh that breaks off gives the same ones again.
+    # Written before they are used; a refresh that breaks off is repeated from the old highest.
     store.add(new.select("transaction_id", "order_no"), last)
     new = spark.read.schema(ORDER_KEYS).parquet(store._batch(last))
     top = new.agg(F.coalesce(F.max("order_no"), F.lit(highest)).alias("highest"))
