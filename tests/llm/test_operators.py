@@ -376,6 +376,24 @@ def test_neighbours_of_awkward_vectors(spark):
     assert neighbours.nearest(frame.filter("false"), frame.filter("false")).count() == 0
 
 
+def test_queries_take_the_width_of_the_table(spark):
+    """Most queries have another width than most vectors: they take no part."""
+    vectors = [(i, [float(i), 1.0]) for i in range(1, 30)] + [(100 * i, [float(i)]) for i in range(1, 9)] + [(900, [2.2, 1.0])]
+    frame = spark.createDataFrame(vectors, "vec_id bigint, embedding array<double>")
+    got = neighbours.nearest(frame, frame.filter("vec_id % 100 = 0"), k=2)
+    assert [(r.query_id, r.vec_id) for r in got.orderBy("query_id", "rank").collect()] == [(900, 2), (900, 3)]
+
+
+def test_blocks_of_queries_find_alike(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    frame = spark.createDataFrame([(i, rng.standard_normal(6).tolist()) for i in range(300)], "vec_id bigint, embedding array<double>")
+    asked = frame.filter("vec_id % 20 = 0")
+    one = rows(neighbours.nearest(frame, asked), "query_id", "rank", "vec_id", "score")
+    monkeypatch.setattr(neighbours, "QUERIES", 4)
+    monkeypatch.setattr(neighbours, "ROWS", 37)
+    assert rows(neighbours.nearest(frame, asked), "query_id", "rank", "vec_id", "score") == one and len(one) == 150
+
+
 def test_neighbours_recall(spark):
     base = "/root/testdata/sf0.1"
     found = queries.op8_neighbours(spark, base).groupBy("query_id").agg(F.collect_set("vec_id").alias("ids")).collect()

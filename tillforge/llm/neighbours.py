@@ -10,7 +10,7 @@ Of equal vectors only the first ``k + 1`` ids can be among the ``k`` nearest of
 (ties go to the smaller id), so further copies are set aside before the index: no leaf
 grows with them, and results are the same.
 
-Defined cases: vectors that are null, empty, zero, of another width than most, or hold null
+Defined cases: vectors that are null, empty, zero, of another width than most of the table, or hold null
 or non-finite components take no part, as queries or candidates; so do rows without an id;
 repeated rows of one id and vector count once; fewer candidates than ``k``: all that were
 found; no vectors, no rows; extra columns are ignored.
@@ -26,13 +26,19 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillforge.llm.store import keep
+from tillforge.session import work_dir
 
 TREES = 24
 #: Vectors that the trees are grown on; all vectors are indexed.
 SAMPLE = 20_000
 LEAF = 24
-#: Share of the sample that the opened leaves hold together, over all trees.
-OPENED = 1.2
+#: Share of the sample that the opened leaves hold together, over all trees. Vectors without
+#: clusters, as those of the query, need this much for a recall of 0.9.
+OPENED = 0.5
+#: The opened leaves hold this many vectors of the sample at least, over all trees.
+LEAST = 4000
+#: Queries that the driver holds and sends at once, and vectors met with them at once.
+QUERIES, ROWS = 1024, 2048
 
 
 class Tree:
@@ -93,8 +99,8 @@ class Forest:
         """``(tree, leaf)`` in the order of the shared queue."""
         margins = [(t.normal @ query - t.offset) / np.maximum(np.linalg.norm(t.normal, axis=1), 1e-300) for t in self.trees]
         queue = [(0.0, k, 0) for k in range(len(self.trees))]
-        opened, held = [], 0
-        while queue and held < share * self.size:
+        opened, held, wanted = [], 0, max(LEAST, share * self.size)
+        while queue and held < wanted:
             far, k, node = heapq.heappop(queue)
             tree = self.trees[k]
             if tree.left[node] < 0:
@@ -113,65 +119,118 @@ def _rows(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1) if len(column) else flat.reshape(0, 0)
 
 
-def usable(vectors: DataFrame) -> DataFrame:
+def width_of(vectors: DataFrame) -> int:
+    """The width most vectors have, of equally frequent ones the smaller; 0 without vectors."""
+    sizes = vectors.filter("vec_id is not null and size(embedding) > 0").groupBy(F.size("embedding").alias("width")).count()
+    row = sizes.orderBy(F.desc("count"), "width").first()
+    return row.width if row else 0
+
+
+def usable(vectors: DataFrame, width: int | None = None) -> DataFrame:
     """``vec_id, embedding`` in double precision; only rows that take part."""
     given = vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
     bad = lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))
     fine = given.filter("vec_id is not null and embedding is not null and size(embedding) > 0").filter(
         ~F.exists("embedding", bad) & F.exists("embedding", lambda x: x != 0)
     )
-    width = fine.groupBy(F.size("embedding").alias("width")).count().orderBy(F.desc("count"), "width").first()
-    return fine.filter(F.size("embedding") == (width.width if width else 0))
-
-
-def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
-    """``query_id, rank, vec_id, score`` for each of the ``queries`` rows."""
+    return fine.filter(F.size("embedding") == (width_of(fine) if width is None else width))
+
+
+class _Nearest:
+    """The ``k`` nearest seen so far, per query."""
+
+    def __init__(self, k: int, queries: int):
+        self.k = k
+        self.gaps, self.ids = [np.zeros(0)] * queries, [np.zeros(0, np.int64)] * queries
+
+    def add(self, query: int, gaps: np.ndarray, ids: np.ndarray) -> None:
+        held = self.gaps[query]
+        if len(held) == self.k:
+            near = gaps <= held[-1]
+            gaps, ids = gaps[near], ids[near]
+        if not len(gaps):
+            return
+        gaps, ids = np.concatenate([held, gaps]), np.concatenate([self.ids[query], ids])
+        order = np.lexsort((ids, gaps))
+        # A vector may stand under one id several times; it counts once.
+        order = order[np.sort(np.unique(ids[order], return_index=True)[1])][: self.k]
+        self.gaps[query], self.ids[query] = gaps[order], ids[order]
+
+
+def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, opened: float = OPENED) -> DataFrame:
+    """``query_id, rank, vec_id, score`` for each of the ``queries`` rows.
+
+    Queries go through in blocks of about ``QUERIES``: the driver walks the forest for a
+    block and sends the opened leaves to all tasks, which scan the index. A vector that
+    shares a leaf with a query in several trees is measured once. A task returns ``k`` rows a
+    query, no pairs and no vectors are shuffled.
+    """
     spark = vectors.sparkSession
     rows = keep(usable(vectors).dropDuplicates(["vec_id", "embedding"]), "ann-rows")
-    asked = usable(queries).dropDuplicates(["vec_id", "embedding"])
-    same = Window.partitionBy("embedding").orderBy("vec_id")
-    rows = keep(rows.withColumn("copy", F.row_number().over(same)).filter(F.col("copy") <= k + 1).drop("copy"), "ann-index")
-    sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).toPandas()
-    if not len(sample):
-        return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
-    forest = spark.sparkContext.broadcast(Forest(np.stack(sample["embedding"].to_numpy())))
-
-    def index(batches):
-        for batch in batches:
-            points = _rows(batch.column("embedding"))
-            for t, tree in enumerate(forest.value.trees):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(points), t, np.int32)), pa.array(tree.leaves(points)), batch.column("vec_id"), batch.column("embedding")],
-                    names=["tree", "leaf", "vec_id", "embedding"],
-                )
-
-    def walk(batches):
-        for batch in batches:
-            for query, point, vector in zip(batch.column("vec_id").to_pylist(), _rows(batch.column("embedding")), batch.column("embedding")):
-                opened = forest.value.open_leaves(point)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([t for t, _ in opened], pa.int32()),
-                        pa.array([n for _, n in opened], pa.int64()),
-                        pa.array([query] * len(opened), pa.int64()),
-                        pa.array([vector.as_py()] * len(opened), pa.list_(pa.float64())),
-                    ],
-                    names=["tree", "leaf", "query_id", "query"],
-                )
-
-    def measure(batches):
-        for batch in batches:
-            gap = _rows(batch.column("query")) - _rows(batch.column("embedding"))
-            score = np.sqrt((gap * gap).sum(axis=1)) if len(batch) else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([batch.column("query_id"), batch.column("vec_id"), pa.array(score)], names=["query_id", "vec_id", "score"])
-
-    width = "embedding array<double>"
-    indexed = rows.mapInArrow(index, f"tree int, leaf bigint, vec_id bigint, {width}")
-    opened = asked.mapInArrow(walk, "tree int, leaf bigint, query_id bigint, query array<double>")
-    met = opened.join(indexed, ["tree", "leaf"]).filter("query_id <> vec_id")
-    scored = met.select("query_id", "query", "vec_id", "embedding").mapInArrow(measure, "query_id bigint, vec_id bigint, score double")
+    first = rows.first()
+    path, found = work_dir(spark, "ann-found"), "query_id bigint, vec_id bigint, score double"
+    spark.createDataFrame([], found).write.parquet(f"{path}/block=-1")
+    if first is not None:
+        same = Window.partitionBy("embedding").orderBy("vec_id")
+        few = rows.withColumn("copy", F.row_number().over(same)).filter(F.col("copy") <= k + 1).drop("copy")
+        sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).toPandas()
+        forest = Forest(np.stack(sample["embedding"].to_numpy()))
+        index = keep(_index(few, spark.sparkContext.broadcast(forest)), "ann-index")
+        asked = usable(queries, len(first.embedding)).dropDuplicates(["vec_id", "embedding"])
+        blocks = max(1, -(-asked.count() // QUERIES))
+        for block in range(blocks):
+            held = asked.filter(F.pmod(F.xxhash64("vec_id", "embedding"), F.lit(blocks)) == block).toPandas()
+            if len(held):
+                points = np.stack(held["embedding"].to_numpy())
+                leaves = [np.zeros((len(t.left), len(points)), bool) for t in forest.trees]
+                for q, point in enumerate(points):
+                    for tree, leaf in forest.open_leaves(point, opened):
+                        leaves[tree][leaf, q] = True
+                leaves = [np.packbits(open_, axis=1) for open_ in leaves]
+                sent = spark.sparkContext.broadcast((held["vec_id"].to_numpy(), points, leaves))
+                _measured(index, sent, k).write.parquet(f"{path}/block={block}")
+                sent.unpersist()
     best = Window.partitionBy("query_id").orderBy("score", "vec_id")
-    # A vector is met once a tree at most, so k of the first k * TREES rows differ.
-    some = scored.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k * TREES)
-    some = some.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
+    scored = spark.read.schema(f"{found}, block int").parquet(path).drop("block")
+    some = scored.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     return some.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def _index(rows: DataFrame, forest) -> DataFrame:
+    """Every vector with its leaf in each tree."""
+
+    def run(batches):
+        for batch in batches:
+            points = _rows(batch.column("embedding"))
+            leaves = np.stack([t.leaves(points) for t in forest.value.trees], axis=1).astype(np.int32)
+            column = pa.ListArray.from_arrays(np.arange(0, leaves.size + 1, leaves.shape[1], dtype=np.int32), leaves.ravel())
+            yield pa.RecordBatch.from_arrays([*batch.columns, column], names=["vec_id", "embedding", "leaves"])
+
+    return rows.select("vec_id", "embedding").mapInArrow(run, "vec_id bigint, embedding array<double>, leaves array<int>")
+
+
+def _measured(index: DataFrame, sent, k: int) -> DataFrame:
+    def run(batches):
+        queries, points, opened = sent.value
+        best = _Nearest(k, len(queries))
+        for whole in batches:
+            for at in range(0, whole.num_rows, ROWS):
+                batch = whole.slice(at, ROWS)
+                ids, own = batch.column("vec_id").to_numpy(), _rows(batch.column("embedding"))
+                leaves = _rows(batch.column("leaves")).astype(np.int64)
+                met = np.zeros((len(ids), opened[0].shape[1]), np.uint8)
+                for tree, open_ in enumerate(opened):
+                    met |= open_[leaves[:, tree]]
+                met = np.unpackbits(met, axis=1, count=len(queries)).astype(bool)
+                met &= ids[:, None] != queries[None, :]
+                for q in np.flatnonzero(met.any(axis=0)):
+                    near = np.flatnonzero(met[:, q])
+                    gap = points[q] - own[near]
+                    best.add(q, np.sqrt((gap * gap).sum(axis=1)), ids[near])
+        counts = [len(i) for i in best.ids]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.repeat(queries, counts)), pa.array(np.concatenate(best.ids)), pa.array(np.concatenate(best.gaps))],
+            names=["query_id", "vec_id", "score"],
+        )
+
+    return index.mapInArrow(run, "query_id bigint, vec_id bigint, score double")
