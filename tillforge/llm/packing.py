@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,8 +38,8 @@ END = 1
 #: Words whose ids a Python worker remembers; beyond it the memory starts anew.
 REMEMBERED = 400_000
 
-_PLAIN_WORD = re.compile(rb"[a-z]+")
-_TAIL = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+_PLAIN_WORD = re.compile("[a-z]+")
+_TAIL = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 class WordTokens:
@@ -49,46 +50,55 @@ class WordTokens:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.known: dict[bytes, tuple[int, ...]] = {}
-
-    def _one(self, word: bytes) -> tuple[int, ...]:
-        if _PLAIN_WORD.fullmatch(word):  # normaliser and splitter leave these as they are
-            return tuple(t.id for t in self.model.tokenize(word.decode()))
-        return tuple(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids)
-
-    def _remembered(self, word: bytes) -> tuple[int, ...]:
-        got = self.known.get(word)
-        if got is None:
-            got = self.known[word] = self._one(word)
-        return got
-
-    def of_word(self, word: bytes) -> tuple[int, ...]:
-        """ASCII signs after an ASCII letter are always a run of their own, but for an
-        apostrophe, and special tokens are looked for before words are split."""
-        if b"<|" in word:
-            return self._one(word)
-        word = word.lower()
-        head = word.rstrip(_TAIL)
-        if head and len(head) < len(word) and 97 <= head[-1] <= 122:
-            return self._remembered(head) + self._remembered(word[len(head) :])
-        return self._remembered(word)
+        self.known: dict[str | None, tuple[int, ...]] = {"": (), None: ()}
+
+    def _ids(self, parts: list[str]) -> list[tuple[int, ...]]:
+        """Ids of each part; those not remembered go to the tokenizer together."""
+        known = self.known
+        new = [p for p in parts if p not in known]
+        plain = [p for p in new if _PLAIN_WORD.fullmatch(p)]  # normaliser and splitter leave these as they are
+        for p in plain:
+            known[p] = tuple([t.id for t in self.model.tokenize(p)])
+        others = [p for p in new if p not in known]
+        for p, got in zip(others, self.tokenizer.encode_batch_fast(others, add_special_tokens=False)):
+            known[p] = tuple(got.ids)
+        return [known[p] for p in parts]
+
+    def _parts(self, words: pa.Array) -> tuple[pa.Array, pa.Array]:
+        """Of distinct words the part before the last ASCII signs, and these signs or null.
+
+        ASCII signs after an ASCII letter are always a run of their own, but for an
+        apostrophe; special tokens are looked for before words are split."""
+        special = pc.match_substring(words, "<|")
+        low = pc.if_else(special, words, pc.ascii_lower(words))
+        head = pc.ascii_rtrim(low, characters=_TAIL)
+        split = pc.and_(pc.match_substring_regex(head, "[a-z]$"), pc.less(pc.binary_length(head), pc.binary_length(low)))
+        split = pc.and_not(split, special)
+        tail = pc.replace_substring_regex(low, r"(?s)^.*[^!-/:-@\[-`{-~]", "")
+        return pc.if_else(split, head, low), pc.if_else(split, tail, pa.scalar(None, pa.large_string()))
 
     def of_texts(self, text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows and the n + 1 row borders, without end tokens."""
         if len(self.known) > REMEMBERED:
-            self.known.clear()
+            self.known = {"": (), None: ()}
         split = pc.ascii_split_whitespace(pc.fill_null(text, "").cast(pa.large_string()))
         words = split.flatten().dictionary_encode()
-        of_word = [self.of_word(w) if w else () for w in words.dictionary.cast(pa.large_binary()).to_pylist()]
-        sizes = np.fromiter(map(len, of_word), np.int64, len(of_word))
-        table = np.fromiter((i for ids in of_word for i in ids), np.uint16, int(sizes.sum()))
+        heads, tails = self._parts(words.dictionary.cast(pa.large_string()))
+        parts = pa.concat_arrays([heads, tails]).dictionary_encode()
+        of_part = self._ids(parts.dictionary.to_pylist())
+        sizes = np.fromiter(map(len, of_part), np.int64, len(of_part))
+        table = np.fromiter(chain.from_iterable(of_part), np.uint16, int(sizes.sum()))
         starts = np.cumsum(sizes) - sizes
+        # A word without signs has no second part: the same as one without ids.
+        sizes, starts = np.append(sizes, 0), np.append(starts, 0)
+        first, second = pc.fill_null(parts.indices, len(of_part)).to_numpy().reshape(2, -1)
         at = words.indices.to_numpy()
-        counts = sizes[at]
+        both = np.stack([first[at], second[at]], axis=1).ravel()
+        counts = sizes[both]
         ends = np.cumsum(counts)
-        spots = np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(starts[at] - (ends - counts), counts)
+        spots = np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(starts[both] - (ends - counts), counts)
         word_borders = split.offsets.to_numpy()
-        row_borders = np.concatenate([[0], ends])[word_borders - word_borders[0]]
+        row_borders = np.concatenate([[0], ends])[2 * (word_borders - word_borders[0])]
         return table[spots].astype(np.uint32), row_borders
 
 
