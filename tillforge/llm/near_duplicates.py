@@ -153,12 +153,19 @@ def _confirm(batches):
         yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(linked, pa.bool_()))
 
 
-def _confirmed(pairs: DataFrame, documents: DataFrame) -> DataFrame:
+def _texts(documents: DataFrame, repeated: DataFrame) -> DataFrame:
+    """The different texts of every id. Only ids with several rows, ``repeated``, are looked
+    at for it; the texts of all others stay where they are."""
+    given = documents.select("doc_id", "text").filter("doc_id is not null and text is not null")
+    once = given.join(repeated, "doc_id", "left_anti")
+    return once.unionByName(given.join(repeated, "doc_id", "left_semi").distinct())
+
+
+def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Texts, not sets, are moved: they are smaller."""
-    texts = documents.select("doc_id", "text").filter("doc_id is not null and text is not null")
     with_a = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
     both = with_a.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(_confirm, "a bigint, b bigint")
+    return both.select("a", "b", "text_a", "text_b").mapInArrow(_confirm, "a bigint, b bigint").distinct()
 
 
 def _shared_counts(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -181,13 +188,12 @@ def _links_in_block(table: pa.Table) -> pa.Table:
     node, root, own = (table.column(c).to_numpy() for c in ("node", "root", "own"))
     bits = np.array(table.column("sketch").to_pylist(), np.int64).view(np.uint64)
     keys = np.array(table.column("buckets").to_pylist(), np.int64)
-    i, j, bucket = (table.column(c)[0].as_py() for c in ("i", "j", "bucket"))
+    i, j, band = (table.column(c)[0].as_py() for c in ("i", "j", "band"))
     left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
     none = pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
     if not len(left) or not len(right):
         return none
     open_ = root[left][:, None] != root[right]
-    band = int(np.flatnonzero(keys[0] == bucket)[0])
     for k, x in enumerate(left):
         open_[k] &= np.bitwise_count(bits[x] ^ bits[right]).sum(axis=1) <= MOST_BITS
         if band:  # pairs that share an earlier band are compared there
@@ -204,17 +210,16 @@ def _links_in_block(table: pa.Table) -> pa.Table:
     return pa.table({"a": node[left[k]], "b": node[right[m]]})
 
 
-def _links_across(members: DataFrame, documents: DataFrame) -> DataFrame:
+def _links_across(members: DataFrame, texts: DataFrame) -> DataFrame:
     """Links between components that share a bucket, confirmed on the full sets.
 
     A bucket is cut into blocks of some BLOCK members and every pair of blocks is compared
     in a group of its own, so that no task holds a whole bucket; a group gives links, not
     pairs to look at."""
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    texts = documents.filter("text is not null").select(F.col("doc_id").alias("node"), "text")
-    dealt = members.join(texts, "node").withColumn("own", F.pmod(F.xxhash64("node"), blocks.cast("bigint")).cast("int"))
+    dealt = members.join(texts.withColumnRenamed("doc_id", "node"), "node").withColumn("own", F.pmod(F.xxhash64("node"), blocks.cast("bigint")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1))).select(
-        "bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "root", "sketch", "buckets", "text"
+        "bucket", "band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "root", "sketch", "buckets", "text"
     )
     return dealt.groupBy("bucket", "i", "j").applyInArrow(_links_in_block, "a bigint, b bigint").distinct()
 
@@ -231,7 +236,10 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
         .select("node", "buckets", "sketch")
     )
     nodes = keep(nodes, "near-nodes")
-    banded = nodes.select("node", F.explode("buckets").alias("bucket"))
+    repeated = keep(sketched.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id"), "near-repeated")
+    texts = _texts(documents, repeated)
+    # An id with two texts stands in the buckets of both; it is one member of each.
+    banded = nodes.select("node", F.posexplode("buckets").alias("band", "bucket")).distinct()
     shared = banded.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("hub")).filter("n > 1")
     members = keep(banded.join(shared, "bucket"), "near-members")
     near = F.aggregate(
@@ -245,13 +253,13 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
         .select("a", "b")
         .distinct()
     )
-    links = keep(_confirmed(keep(hubs, "near-pairs"), documents), "near-links")
+    links = keep(_confirmed(keep(hubs, "near-pairs"), texts), "near-links")
     roots = components(links, "near-roots")
     rooted = nodes.join(roots, "node", "left").select("node", "sketch", "buckets", F.coalesce("root", "node").alias("root"))
-    placed = members.select("bucket", "node", "n").join(rooted.select("node", "root"), "node")
+    placed = members.select("bucket", "band", "node", "n").join(rooted.select("node", "root"), "node")
     mixed = placed.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("bucket")
-    open_ = placed.join(mixed, "bucket").select("bucket", "node", "n").join(rooted, "node")
-    found = keep(_links_across(open_, documents), "near-found")
+    open_ = placed.join(mixed, "bucket").select("bucket", "band", "node", "n").join(rooted, "node")
+    found = keep(_links_across(open_, texts), "near-found")
     roots = components(links.unionByName(found), "near-components")
     return (
         sketched.select("doc_id", "n_shingles", "set_1", "set_2")
