@@ -152,7 +152,7 @@ def search(words: Words, patterns: Patterns) -> tuple[np.ndarray, list[set[str]]
 
 def _blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[list[tuple[str | None, str | None]]]:
     """The benchmark's rows in blocks of bounded size; the driver holds one at a time."""
-    rows = benchmark.select(F.col("item_id").cast("string").alias("i"), F.col("text").alias("t"))
+    rows = benchmark.select(F.col("item_id").cast("string").alias("i"), F.col("text").alias("t")).distinct()
     total = rows.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     n = -(-total // block_bytes) or 1
     for k in range(n):
@@ -211,13 +211,14 @@ def contamination(documents: DataFrame, benchmark: DataFrame, window: int = WIND
             text = batch.column("text")
             counts = [words_of(text.slice(lo, hi - lo), PLAIN).counts for lo, hi in slices(text)]
             hits = [len(w) for w in batch.column("hit_words").to_pylist()]
-            items = [",".join(i) for i in batch.column("hit_items").to_pylist()]
+            found = batch.column("hit_items").to_pylist()
+            items = [",".join(i) for i in found]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id").cast(pa.int64()),
                     pa.array(np.concatenate(counts) if counts else [], pa.int64()),
                     pa.array(hits, pa.int64()),
-                    pa.array([i.count(",") + 1 if i else 0 for i in items], pa.int64()),
+                    pa.array([len(i) for i in found], pa.int64()),
                     pa.array([hashlib.sha256(i.encode()).hexdigest() for i in items], pa.string()),
                     pa.array([h > 0 for h in hits], pa.bool_()),
                     pa.array(items, pa.string()),
