@@ -94,11 +94,21 @@ For more information, please refer to <https://unlicense.org>""",
 }
 
 
+#: Words after ``copyright`` at the start of a line that make it a line of the terms.
+PROSE = "notices?|holders?|owners?|licen[sc]es?|laws?|and|or|interests?|in|is|to|of|on|act|treaty|protection|disclaimer|statements?|does|rights?|permission|status|under|material|works?|control|ownership"
+#: A line that names who holds the rights: it starts with the word or a sign, possibly after
+#: comment marks. ``(c)`` is a sign only before a year or the word; it also numbers clauses.
+COPYRIGHT_LINE = (
+    r"(?m)^[^\p{L}\p{N}\n©(]*+(?:copyright\b(?![ \t]+(?:" + PROSE + r")\b)|©|\(c\)[ \t]*+(?:copyright\b|[0-9]{4}|[<\[]))[^\n]*+$"
+)
+RESERVED_LINE = r"(?m)^[^\p{L}\p{N}\n]*+all rights reserved\b[^\p{L}\p{N}\n]*+$"
+
+
 def canonical(text: Column) -> Column:
     """The same for texts that differ in case, punctuation, copyright lines or spelling."""
     out = F.lower(text)
-    # A copyright line starts with the word or sign, possibly after comment marks.
-    out = F.regexp_replace(out, r"(?m)^[^\p{L}\p{N}\n©]*+(?:copyright\b(?=[ ,:]*+(?:\(c\)|©|[0-9]|<))|©|\(c\)\s)[^\n]*+$", " ")
+    for line in (COPYRIGHT_LINE, RESERVED_LINE):
+        out = F.regexp_replace(out, line, " ")
     out = F.trim(F.regexp_replace(out, r"[^\p{L}\p{N}]++", " "))
     for spelling, same in SPELLINGS.items():
         out = F.replace(out, F.lit(spelling), F.lit(same))
