@@ -1,6 +1,7 @@
 """Every operator against plain forms, on awkward small tables and on the smallest given ones."""
 
 import random
+import re
 from collections import Counter
 
 import brute
@@ -92,6 +93,15 @@ def test_contamination_of_the_given_table(spark, base):
     assert rows(queries.op1_decontamination(spark, base), *CONTAMINATION) == Counter(want) and any(w[2] for w in want)
 
 
+def test_item_ids_may_hold_commas_or_nothing(spark):
+    docs = spark.createDataFrame([(1, "red fish blue fish"), (2, "red fish")], "doc_id bigint, text string")
+    items = spark.createDataFrame([("a,b", "red fish"), ("", "blue fish"), ("", "blue fish")], "item_id string, text string")
+    got = {r.doc_id: (r.n_items, r.items_sha256) for r in decontamination.contamination(docs, items).collect()}
+    assert got == {1: (2, brute.sha(",a,b")), 2: (1, brute.sha("a,b"))}
+    alone = decontamination.contamination(docs, items.filter("item_id = ''")).filter("doc_id = 1").first()
+    assert (alone.n_items, alone.items_sha256) == (1, brute.sha(""))
+
+
 def test_nothing_to_search_or_search_for(spark, documents, none):
     empty = spark.createDataFrame([], "item_id bigint, text string")
     assert decontamination.contamination(none, empty).count() == 0
@@ -252,6 +262,23 @@ def test_near_duplicates_of_a_large_loose_group(spark):
     assert got == Counter(brute.near_duplicates(docs))
 
 
+def test_an_id_with_two_texts_in_a_split_bucket(spark):
+    """Texts that share bands but no link, under ids that hold others as well, and repeated rows."""
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(120)]
+    docs = []
+    for i in range(60):
+        own = list(words)
+        for k in rng.sample(range(120), 6):
+            own[k] = f"e{i}x{k}"
+        docs += [(i, " ".join(own))] * (30 if i in (0, 7) else 1)
+        if i % 3 == 0:
+            docs.append((i, " ".join(f"z{i}y{k}" for k in range(50))))
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string")
+    want = Counter(brute.near_duplicates(docs))
+    assert rows(near_duplicates.near_duplicates(frame), *NEAR) == want
+
+
 def test_near_duplicates_of_the_given_table(spark, base):
     assert rows(queries.op5_near_duplicates(spark, base), *NEAR) == Counter(brute.near_duplicates(texts(given(spark, base, "documents"))))
 
@@ -407,6 +434,23 @@ def test_neighbours_recall(spark):
     assert np.mean(shares) >= 0.9
 
 
+@pytest.mark.parametrize(
+    "line", ["Copyright Jane Doe", "Copyright [year] [fullname]", "(c) 2020 X", "Copyright The Foo Authors. All rights reserved.",
+             "// Copyright (c) 2001-2024 X, Y", "Copyright (c) 2020 X\nAll rights reserved."]
+)
+def test_copyright_lines_do_not_hide_a_licence(spark, line):
+    body = re.sub(r"(?i)\A.*?copyright[^\n]*\n", "", licences.KNOWN["MIT"], count=1, flags=re.S) if "opyright (c)" in licences.KNOWN["MIT"][:200] else licences.KNOWN["MIT"]
+    frame = spark.createDataFrame([(1, f"{line}\n\n{body}"), (2, f"{line} {body}"), (3, line)], "doc_id bigint, text string")
+    got = {r.doc_id: r.licence_id for r in licences.scan(frame, licences.known_digests(spark)).collect()}
+    assert got[1] == "MIT" and got[3] is None
+
+
+def test_a_severity_that_is_no_number_is_left_alone(spark):
+    docs = spark.createDataFrame([(i, "vile nasty" if i % 2 else "blue sea") for i in range(60)], "doc_id bigint, text string")
+    marks = spark.createDataFrame([(i, i % 2, "high") for i in range(60)], "doc_id bigint, toxic int, severity string")
+    assert toxicity.toxicity(docs, marks).filter("toxic").count() == 30
+
+
 # packing
 
 

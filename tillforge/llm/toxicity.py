@@ -134,7 +134,7 @@ def train(words: list[np.ndarray], toxic: np.ndarray, severity: np.ndarray | Non
 
 
 def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
-    graded = "severity" in labels.columns
+    graded = dict(labels.dtypes).get("severity") in ("tinyint", "smallint", "int", "bigint")
     marks = labels.filter("toxic is not null").select(
         "doc_id", F.col("toxic").cast("int").alias("toxic"), (F.col("severity").cast("int") if graded else F.lit(None).cast("int")).alias("severity")
     )
