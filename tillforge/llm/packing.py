@@ -36,7 +36,9 @@ CAPACITY = 2048
 SMALLEST = 8
 END = 1
 #: Words whose ids a Python worker remembers; beyond it the memory starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
+#: Words that the tokenizer gets at once, and bytes of text whose ids a worker holds.
+TOGETHER, TEXT_BYTES = 2048, 4 << 20
 
 _PLAIN_WORD = re.compile("[a-z]+")
 _TAIL = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -60,8 +62,10 @@ class WordTokens:
         for p in plain:
             known[p] = tuple([t.id for t in self.model.tokenize(p)])
         others = [p for p in new if p not in known]
-        for p, got in zip(others, self.tokenizer.encode_batch_fast(others, add_special_tokens=False)):
-            known[p] = tuple(got.ids)
+        for at in range(0, len(others), TOGETHER):
+            some = others[at : at + TOGETHER]
+            for p, got in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
+                known[p] = tuple(got.ids)
         return [known[p] for p in parts]
 
     def _parts(self, words: pa.Array) -> tuple[pa.Array, pa.Array]:
@@ -126,7 +130,7 @@ def _cut(path: str, capacity: int):
         for batch in batches:
             text = batch.column("text")
             docs = batch.column("doc_id").cast(pa.int64()).to_pylist()
-            for lo, hi in slices(text):
+            for lo, hi in slices(text, TEXT_BYTES):
                 ids, borders = _tokens[path].of_texts(text.slice(lo, hi - lo))
                 rows = []
                 for k in range(hi - lo):
