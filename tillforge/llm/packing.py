@@ -18,6 +18,7 @@ columns are ignored.
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from itertools import chain
@@ -48,6 +49,8 @@ class WordTokens:
     """Ids of lower-cased words by the tokenizer, remembered up to a bound."""
 
     def __init__(self, path: str):
+        # Threads of a library inside a task would take cores and memory of other tasks.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -143,6 +146,8 @@ def _cut(path: str, capacity: int):
                         rows.append((docs[lo + k], start, size, crc, len(own), task, place))
                         start += size
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=[c.split()[0] for c in CUT.split(", ")])
+                del ids, borders, rows
+                pa.default_memory_pool().release_unused()
 
     return run
 
