@@ -1,13 +1,14 @@
 """Fuzzy line deduplication by MinHash over character shingles, in DataFrame functions only.
 
-A line is lower-cased and trimmed. Its distinct five-character shingles give SAMPLES minima
-(the shingle hash XORed with a seed each), aggregated per distinct line before the shuffle,
-so that texts are not moved and a line with a third of all occurrences is one row a task.
-Bands of minima are buckets. In each bucket a line meets the earliest line; the exact
-Jaccard similarity of the shingle sets decides. Buckets that
-still hold several components are compared in full, in blocks, by their minima, and what
-these allow is decided exactly too. Union-find over line positions keeps the earliest line
-of each component.
+A line is lower-cased and trimmed; equal lines become one row by a hash aggregate, partial
+before the shuffle, so that a line with a third of all occurrences is one row a task. The
+distinct five-character shingles of each give SAMPLES minima (the shingle hash XORed with a
+seed each). Bands of minima are buckets; eight bits of each minimum are packed into a
+sketch of three numbers that travels with the bucket. In a bucket of at most SMALL lines
+all pairs whose sketches allow a link are decided by the exact Jaccard similarity of the
+shingle sets. In a larger one every line meets one hub first, and what then still belongs
+to several components is compared in full, in blocks. Union-find over the links; the
+earliest line of each component is kept.
 
 Defined cases: lines end at a line feed; blank lines are never compared and stay; a line
 shorter than a shingle is its own only shingle; null texts have no lines; rows under one
@@ -21,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillforge.llm.components import components
-from tillforge.llm.store import keep
+from tillforge.llm.store import Scratch, keep
 
 #: One changed inner character costs five shingles: from 39 characters on 0.75 is still reached.
 SHINGLE = 5
@@ -30,8 +31,14 @@ PERCENT_INTERSECTION, PERCENT_UNION = 100, 75
 #: of 0.85 with 0.05 %.
 BANDS, BAND_ROWS = 8, 3
 SAMPLES = BANDS * BAND_ROWS
-#: Of pairs at the threshold 0.2 % have fewer equal minima.
-LEAST_EQUAL = 12
+#: Pairs with fewer equal minima go no further: of pairs at the threshold 0.01 %, were the
+#: minima independent.
+LEAST_EQUAL = 10
+#: Lines of a bucket that are compared without a hub.
+SMALL = 64
+#: Minima in one number of a sketch, a byte each.
+PACKED = 8
+SKETCH = [f"s{i}" for i in range(SAMPLES // PACKED)]
 #: Positions that one row of the shingle scan covers.
 STEP = 8
 BLOCK = 256
@@ -73,136 +80,156 @@ def _seed(k: int) -> int:
     return (value ^ (value >> 27)) - 2**63
 
 
-def signatures(documents: DataFrame) -> DataFrame:
-    """Distinct lines: ``mark, place`` (earliest) and ``minima``."""
-    lines = lines_of(documents).filter("doc_id is not null and line <> ''").withColumn("mark", F.unhex(F.md5("line")))
-    own = lines.select("mark", place(F.col("doc_id"), F.col("line_no")).alias("place"))
-    earliest = own.groupBy("mark").agg(F.min("place").alias("place"))
-    wide = lines.select("mark", F.length("line").alias("length"), _wide(F.col("line")).alias("wide"))
+def distinct_lines(documents: DataFrame) -> DataFrame:
+    """Each normal line once: ``node`` (a number of its own), earliest ``place``, ``n``, ``line``."""
+    lines = lines_of(documents).filter("doc_id is not null and line <> ''")
+    once = lines.select("line", place(F.col("doc_id"), F.col("line_no")).alias("place")).groupBy("line")
+    once = once.agg(F.min("place").alias("place"), F.count("*").alias("n"))
+    return once.select(F.monotonically_increasing_id().alias("node"), "place", "n", "line")
+
+
+def signatures(distinct: DataFrame) -> DataFrame:
+    """``node``, its ``buckets`` and its sketch."""
+    wide = distinct.select("node", F.length("line").alias("length"), _wide(F.col("line")).alias("wide"))
     at = wide.select(
-        "mark", "wide", _last(F.col("length")).alias("last"), F.explode(F.sequence(F.lit(0), _last(F.col("length")), F.lit(STEP))).alias("at")
+        "node", "wide", _last(F.col("length")).alias("last"), F.explode(F.sequence(F.lit(0), _last(F.col("length")), F.lit(STEP))).alias("at")
     )
     hashed = at.select(
-        "mark", *(_shingle_at(F.col("wide"), F.least(F.col("at") + k, F.col("last"))).alias(f"h{k}") for k in range(STEP))
+        "node", *(_shingle_at(F.col("wide"), F.least(F.col("at") + k, F.col("last"))).alias(f"h{k}") for k in range(STEP))
     )
     minima = [
         F.min(F.least(*(F.col(f"h{i}").bitwiseXOR(F.lit(_seed(k))) for i in range(STEP)))).alias(f"m{k}") for k in range(SAMPLES)
     ]
-    minima_of = hashed.groupBy("mark").agg(*minima).select(
-        "mark", F.array(*(F.shiftright(f"m{k}", 32).cast("int") for k in range(SAMPLES))).alias("minima")
-    )
-    return earliest.join(minima_of, "mark")
+    short = hashed.groupBy("node").agg(*minima).select("node", *(F.shiftright(f"m{k}", 32).alias(f"m{k}") for k in range(SAMPLES)))
+    buckets = [F.xxhash64(F.lit(b), *(f"m{b * BAND_ROWS + r}" for r in range(BAND_ROWS))) for b in range(BANDS)]
+    return short.select("node", F.array(*buckets).alias("buckets"), *_sketch())
 
 
-def _buckets() -> Column:
-    minima = F.col("minima")
-    return F.array(*(F.xxhash64(F.lit(b), *(minima[b * BAND_ROWS + r] for r in range(BAND_ROWS))) for b in range(BANDS)))
+def _sketch() -> list[Column]:
+    def packed(first: int) -> Column:
+        word = F.lit(0).cast("bigint")
+        for i in range(PACKED):
+            word = word.bitwiseOR(F.shiftleft(F.col(f"m{first + i}").bitwiseAND(F.lit(255)), 8 * i))
+        return word
 
+    return [packed(i * PACKED).alias(name) for i, name in enumerate(SKETCH)]
 
-def shingles(wide: str) -> Column:
-    """The set of shingle hashes of a normal line. The text is bound to a variable: as a
-    column it would be computed or copied anew for every shingle."""
 
-    def of(text):
-        last = _last((F.length(text) / 4).cast("int"))
-        return F.array_distinct(F.transform(F.sequence(F.lit(0), last), lambda i: _shingle_at(text, i)))
+def _alike(left: str, right: str) -> Column:
+    """Whether two sketches share LEAST_EQUAL bytes; equal minima have equal bytes."""
+    different = F.lit(0)
+    for name in SKETCH:
+        bits = F.col(left + name).bitwiseXOR(F.col(right + name))
+        for shift, mask in ((4, 0x0F0F0F0F0F0F0F0F), (2, 0x0303030303030303), (1, 0x0101010101010101)):
+            bits = bits.bitwiseOR(F.shiftrightunsigned(bits, shift)).bitwiseAND(F.lit(mask))
+        different = different + F.bit_count(bits)
+    return different <= SAMPLES - LEAST_EQUAL
 
-    return F.get(F.transform(F.array(F.col(wide)), of), F.lit(0))
 
+def shingles(line: str) -> Column:
+    """Shingle hashes of a normal line, repeats included. The text is bound to a variable: as
+    a column it would be computed or copied anew for every shingle."""
 
-def _texts(documents: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``place, wide`` of the wanted ``mark, place`` rows; a text is split once."""
-    at = wanted.select(
-        F.floor(F.col("place") / F.lit(4294967296).cast("decimal(10,0)")).cast("bigint").alias("doc_id"), "place", "mark"
-    )
-    at = at.select("doc_id", F.struct((F.col("place") - place(F.col("doc_id"), F.lit(0))).cast("int").alias("line_no"), "place", "mark").alias("w"))
-    asked = at.groupBy("doc_id").agg(F.collect_list("w").alias("asked"))  # no more than the document's lines
-    found = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(asked, "doc_id")
-    found = found.select(F.split("text", "\n", -1).alias("lines"), "asked").select(
-        F.inline(F.transform("asked", lambda w: F.struct(w["place"].alias("place"), w["mark"].alias("mark"), F.get("lines", w["line_no"]).alias("line"))))
-    )
-    found = found.select("place", "mark", _normal(F.col("line")).alias("line"))
-    return found.filter(F.unhex(F.md5("line")) == F.col("mark")).select("place", _wide(F.col("line")).alias("wide")).distinct()
+    def of(text):
+        starts = F.sequence(F.lit(1), F.greatest(F.length(text) - (4 * SHINGLE - 1), F.lit(1)), F.lit(4))
+        return F.transform(starts, lambda i: F.xxhash64(F.substring(text, i, F.lit(4 * SHINGLE))))
 
+    return F.get(F.transform(F.array(_wide(F.col(line))), of), F.lit(0))
 
-def _confirmed(pairs: DataFrame, distinct: DataFrame, documents: DataFrame) -> DataFrame:
-    """The pairs ``a, b`` of places whose shingle sets are similar enough."""
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("place")).distinct()
-    texts = keep(_texts(documents, distinct.select("mark", "place").join(ends, "place")), "lines-texts")
+
+def _confirmed(pairs: DataFrame, distinct: DataFrame, scratch: Scratch) -> DataFrame:
+    """The pairs ``a, b`` of nodes whose shingle sets are similar enough."""
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    texts = scratch.keep(distinct.select("node", "line").join(ends, "node"), "lines-texts")
     both = (
-        pairs.join(texts.select(F.col("place").alias("a"), F.col("wide").alias("wide_a")), "a")
-        .join(texts.select(F.col("place").alias("b"), F.col("wide").alias("wide_b")), "b")
-        .select("a", "b", "wide_a", "wide_b")
+        pairs.join(texts.select(F.col("node").alias("a"), F.col("line").alias("line_a")), "a")
+        .join(texts.select(F.col("node").alias("b"), F.col("line").alias("line_b")), "b")
+        .select("a", "b", "line_a", "line_b")
     )
     # Shingling costs far more than the bytes of a pair suggest, by which joins size their tasks.
     both = both.repartition(int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "a", "b")
-    # Both sets are elements of one array, so that each is made once for all uses of it.
-    sets = F.array(F.struct(shingles("wide_a").alias("x"), shingles("wide_b").alias("y")))
-    return both.filter(F.exists(sets, _similar)).select("a", "b").distinct()
+    # Rows of a generator: a filter is not pushed below it, so each list is made once, and
+    # the set functions are compiled for longs.
+    hashes = F.array(F.struct(shingles("line_a").alias("x"), shingles("line_b").alias("y")))
+    return both.select("a", "b", F.explode(hashes).alias("h")).filter(_similar(F.col("h.x"), F.col("h.y"))).select("a", "b")
 
 
-def _similar(pair) -> Column:
+def _similar(x: Column, y: Column) -> Column:
     """|x and y| / |x or y| reaches the threshold, with the union as |x| + |y| - |x and y|."""
-    shared = F.size(F.array_intersect(pair["x"], pair["y"]))
-    return (PERCENT_INTERSECTION + PERCENT_UNION) * shared >= PERCENT_UNION * (F.size(pair["x"]) + F.size(pair["y"]))
+    shared = F.size(F.array_intersect(x, y))
+    return (PERCENT_INTERSECTION + PERCENT_UNION) * shared >= PERCENT_UNION * (F.size(F.array_distinct(x)) + F.size(F.array_distinct(y)))
+
 
+def _sided(members: DataFrame, side: str, keys: list[str]) -> DataFrame:
+    return members.select(*keys, *(F.col(c).alias(side + c) for c in members.columns if c not in keys))
 
-def _ordered(a: Column, b: Column) -> list[Column]:
-    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
+
+def _small_pairs(members: DataFrame) -> DataFrame:
+    """All pairs ``a, b`` of buckets of at most SMALL lines whose sketches allow a link."""
+    small = members.filter(F.col("n") <= SMALL).select("bucket", "node", *SKETCH)
+    both = _sided(small, "l_", ["bucket"]).join(_sided(small, "r_", ["bucket"]), "bucket")
+    return both.filter((F.col("l_node") < F.col("r_node")) & _alike("l_", "r_")).select(F.col("l_node").alias("a"), F.col("r_node").alias("b"))
+
+
+def _hub_pairs(large: DataFrame) -> DataFrame:
+    """Pairs of a larger bucket's first line with its others."""
+    hubs = large.groupBy("bucket").agg(F.min("node").alias("node"))
+    hubs = _sided(large.join(hubs, ["bucket", "node"]).select("bucket", "node", *SKETCH), "l_", ["bucket"])
+    both = _sided(large.select("bucket", "node", *SKETCH), "r_", ["bucket"]).join(hubs, "bucket")
+    return both.filter((F.col("l_node") < F.col("r_node")) & _alike("l_", "r_")).select(F.col("l_node").alias("a"), F.col("r_node").alias("b"))
 
 
 def _open_pairs(members: DataFrame) -> DataFrame:
-    """Pairs of different components in one bucket whose minima allow a link. A bucket is
+    """Pairs of different components in one bucket whose sketches allow a link. A bucket is
     dealt out in blocks; every pair of blocks is one join key, and only what passes the
     condition inside the join becomes a row."""
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    dealt = members.withColumn("own", F.pmod(F.xxhash64("place"), blocks.cast("bigint")).cast("int"))
+    dealt = members.withColumn("own", F.pmod(F.xxhash64("node"), blocks.cast("bigint")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     dealt = dealt.select(
-        "bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "place", "root", "minima"
+        "bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "root", *SKETCH
     )
-    left = dealt.filter("own = i").select("bucket", "i", "j", *(F.col(c).alias(f"{c}_l") for c in ("place", "root", "minima")))
-    right = dealt.filter("own = j").select("bucket", "i", "j", *(F.col(c).alias(f"{c}_r") for c in ("place", "root", "minima")))
-    equal = sum(((F.col("minima_l")[k] == F.col("minima_r")[k]).cast("int") for k in range(SAMPLES)), F.lit(0))
-    both = left.join(right, ["bucket", "i", "j"]).filter((F.col("root_l") != F.col("root_r")) & (equal >= LEAST_EQUAL))
-    return both.select(*_ordered(F.col("place_l"), F.col("place_r"))).distinct()
+    keys = ["bucket", "i", "j"]
+    left, right = (_sided(dealt.filter(f"own = {end}").drop("own"), side, keys) for end, side in (("i", "l_"), ("j", "r_")))
+    both = left.join(right, keys).filter((F.col("l_root") != F.col("r_root")) & _alike("l_", "r_"))
+    return both.select(F.least("l_node", "r_node").alias("a"), F.greatest("l_node", "r_node").alias("b")).distinct()
+
+
+def _components(distinct: DataFrame, scratch: Scratch) -> DataFrame:
+    """``node, root`` of the lines that are linked with another one."""
+    signed = scratch.keep(signatures(distinct), "lines-signed")
+    banded = signed.select(F.explode("buckets").alias("bucket"), "node", *SKETCH)
+    crowded = scratch.keep(banded.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1"), "lines-crowded")
+    members = scratch.keep(banded.join(crowded, "bucket"), "lines-members")
+    large = members.filter(F.col("n") > SMALL)
+    pairs = scratch.keep(_small_pairs(members).unionByName(_hub_pairs(large)).distinct(), "lines-pairs")
+    links = scratch.keep(_confirmed(pairs, distinct, scratch), "lines-links")
+    roots = components(links, "lines-roots")
+    if large.isEmpty():
+        return roots
+    placed = large.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    mixed = placed.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("bucket")
+    rest = scratch.keep(_open_pairs(placed.join(mixed, "bucket")).join(pairs, ["a", "b"], "left_anti"), "lines-rest")
+    found = scratch.keep(_confirmed(rest, distinct, scratch), "lines-found")
+    return roots if found.isEmpty() else components(links.unionByName(found), "lines-components")
 
 
 def line_components(documents: DataFrame) -> DataFrame:
-    """``mark, root``: the earliest place in the component of each distinct line."""
-    distinct = keep(signatures(documents), "lines-distinct")
-    banded = distinct.select("place", F.explode(_buckets()).alias("bucket"))
-    crowded = keep(banded.groupBy("bucket").count().filter("count > 1").select("bucket"), "lines-crowded")
-    banded = keep(banded.join(crowded, "bucket"), "lines-banded")
-    shared = banded.groupBy("bucket").agg(F.count("*").alias("n"), F.min("place").alias("hub"))
-    members = keep(banded.join(shared, "bucket"), "lines-members")
-    pairs = keep(members.filter("hub <> place").select(F.col("hub").alias("a"), F.col("place").alias("b")).distinct(), "lines-pairs")
-    minima = distinct.select("place", "minima")
-    equal = sum(((F.col("minima_a")[k] == F.col("minima_b")[k]).cast("int") for k in range(SAMPLES)), F.lit(0))
-    likely = (
-        pairs.join(minima.select(F.col("place").alias("a"), F.col("minima").alias("minima_a")), "a")
-        .join(minima.select(F.col("place").alias("b"), F.col("minima").alias("minima_b")), "b")
-        .filter(equal >= LEAST_EQUAL)
-        .select("a", "b")
-    )
-    links = keep(_confirmed(keep(likely, "lines-likely"), distinct, documents), "lines-links")
-    roots = components(links, "lines-roots")
-    placed = members.select("bucket", "place", "n").join(roots.withColumnRenamed("node", "place"), "place", "left")
-    placed = placed.withColumn("root", F.coalesce("root", "place"))
-    mixed = placed.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("bucket")
-    open_ = placed.join(mixed, "bucket").join(minima, "place")
-    rest = keep(_open_pairs(open_).join(pairs, ["a", "b"], "left_anti"), "lines-rest")
-    found = keep(_confirmed(rest, distinct, documents), "lines-found")
-    roots = components(links.unionByName(found), "lines-components")
-    return distinct.select("mark", "place").join(roots.withColumnRenamed("node", "place"), "place", "left").select(
-        "mark", F.coalesce("root", "place").alias("root")
-    )
+    """``mark, root``: the earliest place in the component of each line that occurs more than
+    once or is linked with another one."""
+    with Scratch() as scratch:
+        distinct = scratch.keep(distinct_lines(documents), "lines-distinct")
+        roots = _components(distinct, scratch)
+        first = roots.join(distinct.select("node", "place"), "node").groupBy("root").agg(F.min("place").alias("first"))
+        named = roots.join(first, "root").select("node", "first")
+        repeated = distinct.join(named, "node", "left").filter("n > 1 or first is not null")
+        return keep(repeated.select(F.unhex(F.md5("line")).alias("mark"), F.coalesce("first", "place").alias("root")), "lines-judged")
 
 
 def judged_lines(documents: DataFrame) -> DataFrame:
     """A row per line: ``doc_id, line_no``, the document and number of the line that is kept
     for its component, and whether it is the kept one."""
-    roots = keep(line_components(documents), "lines-judged")
+    roots = line_components(documents)
     lines = lines_of(documents).select("doc_id", "line_no", F.when(F.col("line") != "", F.unhex(F.md5("line"))).alias("mark"))
     own = place(F.col("doc_id"), F.col("line_no"))
     met = lines.join(roots, "mark", "left").select("doc_id", "line_no", F.coalesce(F.when(F.col("doc_id").isNotNull(), F.col("root")), own).alias("root"))
@@ -218,10 +245,14 @@ def judged_lines(documents: DataFrame) -> DataFrame:
 
 def remove_repeated_lines(documents: DataFrame) -> DataFrame:
     """The documents with repeated lines taken out of ``text`` and ``n_chars`` set anew."""
-    out = judged_lines(documents).filter("not kept").groupBy("doc_id").agg(F.collect_list("line_no").alias("__out"))
+    out = judged_lines(documents).filter("not kept").groupBy("doc_id").agg(F.collect_set("line_no").alias("__out"))
     left = documents.join(out.withColumnRenamed("doc_id", "__doc"), F.col("doc_id") == F.col("__doc"), "left")
-    stay = F.filter(F.split("text", "\n", -1), lambda line, i: ~F.array_contains("__out", i.cast("bigint")))
-    text = F.when(F.col("__out").isNull(), F.col("text")).otherwise(F.array_join(stay, "\n"))
+    lines = F.split("text", "\n", -1)
+    stay = F.array_except(F.sequence(F.lit(0).cast("bigint"), F.size(lines).cast("bigint") - 1), F.col("__out"))
+    # The lines are bound to a variable, so that the text is split once.
+    both = F.array(F.struct(lines.alias("lines"), stay.alias("stay")))
+    joined = F.transform(both, lambda b: F.array_join(F.transform(b["stay"], lambda i: F.get(b["lines"], i.cast("int"))), "\n"))
+    text = F.when(F.col("__out").isNull(), F.col("text")).otherwise(F.get(joined, F.lit(0)))
     left = left.withColumn("text", text)
     if "n_chars" in documents.columns:
         left = left.withColumn("n_chars", F.when(F.col("__out").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("bigint")))

@@ -23,11 +23,36 @@ def keep(df: DataFrame, label: str) -> DataFrame:
     executor costs a read. ``checkpoint()`` writes the same bytes, but readers of Parquet
     can prune columns. Spark drops the shuffle files of a finished job when its plan is
     collected as garbage, which an idle driver does late; it is asked to here."""
+    return _written(df, label)[0]
+
+
+def _written(df: DataFrame, label: str) -> tuple[DataFrame, str]:
     path = work_dir(df.sparkSession, label)
     df.write.parquet(path)
     gc.collect()
     df.sparkSession.sparkContext._jvm.System.gc()
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+class Scratch:
+    """Kept copies that only one computation reads: gone when its own result is written."""
+
+    def __init__(self):
+        self.copies: list[tuple[DataFrame, str]] = []
+
+    def keep(self, df: DataFrame, label: str) -> DataFrame:
+        copy, path = _written(df, label)
+        self.copies.append((copy, path))
+        return copy
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_) -> None:
+        for copy, path in self.copies:
+            context = copy.sparkSession.sparkContext
+            folder = context._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 _shipped: dict[int, object] = {}
