@@ -38,6 +38,19 @@ GROUP BY product_id, product_name, category ORDER BY total_revenue DESC, product
 SELECT year, month, month_name, count(DISTINCT transaction_id) AS order_volume, CAST(sum(net_sales_amount) AS DECIMAL(28,2)) AS monthly_revenue
 FROM fact JOIN dim_date USING (date_sk) GROUP BY year, month, month_name
 
+-- name: report_monthly_growth
+-- uses: fact, dim_date
+SELECT year, month, monthly_revenue, previous_revenue, CAST(monthly_revenue - previous_revenue AS DECIMAL(28,2)) AS growth,
+  CASE WHEN previous_revenue > 0 THEN CAST(CAST(CASE WHEN n < 0 THEN -((2 * -n + p) // (2 * p)) ELSE (2 * n + p) // (2 * p) END AS DECIMAL(26,0)) * 0.01 AS DECIMAL(18,2)) END AS growth_percent
+FROM (
+  SELECT *, CAST(previous_revenue * 100 AS HUGEINT) AS p, CAST((monthly_revenue - previous_revenue) * 100 AS HUGEINT) * 10000 AS n
+  FROM (
+    SELECT year, month, monthly_revenue, CASE WHEN lag(year * 12 + month) OVER w = year * 12 + month - 1 THEN lag(monthly_revenue) OVER w END AS previous_revenue
+    FROM (SELECT year, month, CAST(sum(net_sales_amount) AS DECIMAL(28,2)) AS monthly_revenue FROM fact JOIN dim_date USING (date_sk) GROUP BY year, month)
+    WINDOW w AS (ORDER BY year * 12 + month)
+  )
+)
+
 -- name: report_monthly_refreshed
 -- uses: fact, dim_date
 SELECT d.year, d.month, d.month_name, count(DISTINCT transaction_id) AS order_volume, CAST(sum(net_sales_amount) AS DECIMAL(28,2)) AS monthly_revenue

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tillforge import constants as C
 from tillforge.operators import aggregates, load
+from tillforge.plans import reports
 
 
 def lines(spark, *rows):
@@ -66,3 +67,20 @@ def test_a_day_reads_one_month_folder(spark, tmp_path):
     load.commit_changes(spark, lines(spark, *((f"T{m}", 1, f"2026-0{m}-05", "1.00", "ADDED", []) for m in range(1, 6))), facts)
     files = load.read_table(spark, facts, ["2026-03"]).inputFiles()
     assert files and all("tx_month=2026-03" in f for f in files)
+
+
+def test_growth_needs_the_calendar_month_before(spark):
+    months = [(1996, 12, "100.00"), (1997, 1, "150.01"), (1997, 3, "0.00"), (1997, 4, "7.00"), (1997, 5, "-7.00"), (1997, 6, "1.00")]
+    table = spark.createDataFrame(months, "year int, month int, revenue string")
+    table = table.select("year", "month", F.col("revenue").cast("decimal(28,2)").alias("monthly_revenue"))
+    got = reports.monthly_growth(table)
+    assert "Window" not in got._jdf.queryExecution().executedPlan().toString()
+    figures = [(r.month, *(None if x is None else str(x) for x in (r.previous_revenue, r.growth, r.growth_percent))) for r in got.collect()]
+    assert figures == [
+        (6, "-7.00", "8.00", None),
+        (5, "7.00", "-14.00", "-200.00"),
+        (4, "0.00", "7.00", None),
+        (3, None, None, None),
+        (1, "100.00", "50.01", "50.01"),
+        (12, None, None, None),
+    ]

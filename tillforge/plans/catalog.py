@@ -733,6 +733,11 @@ def report_monthly(spark, base):
     return aggregates.monthly(spark, gold(spark, base)[1], retail.dim_date(spark, base))
 
 
+@query
+def report_monthly_growth(spark, base):
+    return reports.monthly_growth(aggregates.monthly(spark, gold(spark, base)[1], retail.dim_date(spark, base)))
+
+
 @query
 def report_monthly_refreshed(spark, base):
     """The lines of 1997 are delivered again, a third of them 31 days later; only the months

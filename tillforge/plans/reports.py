@@ -99,6 +99,28 @@ def monthly(fact: DataFrame, date: DataFrame) -> DataFrame:
     )
 
 
+def monthly_growth(months: DataFrame) -> DataFrame:
+    """Rows of ``monthly`` beside the calendar month before; NULL where that one has no sales,
+    and no percentage of a revenue that is not positive. Months meet by number: a lag over
+    all of them would gather the table in one partition."""
+    numbered = months.withColumn("number", F.col("year") * 12 + F.col("month"))
+    before = numbered.select((F.col("number") + 1).alias("number"), F.col("monthly_revenue").alias("previous_revenue"))
+    revenue, previous = cents(F.col("monthly_revenue")), cents(F.col("previous_revenue"))
+    change = half_up((revenue - previous).cast("decimal(30,0)") * 10000, previous)
+    return (
+        numbered.join(before, "number", "left")
+        .select(
+            "year",
+            "month",
+            "monthly_revenue",
+            "previous_revenue",
+            (F.col("monthly_revenue") - F.col("previous_revenue")).cast(TOTAL).alias("growth"),
+            F.when(F.col("previous_revenue") > 0, from_cents(change, "decimal(18,2)")).alias("growth_percent"),
+        )
+        .orderBy(F.desc("year"), F.desc("month"))
+    )
+
+
 def employee_sales(fact: DataFrame, employee: DataFrame) -> DataFrame:
     return (
         fact.groupBy("employee_sk")
