@@ -175,3 +175,11 @@ FROM fact_month WHERE store_sk % 2 <> 0 OR day(transaction_time) % 2 = 0 GROUP B
 -- name: stream_validate_feed
 -- uses: flagged
 SELECT transaction_id, store_id, product_id, employee_id, customer_id, quantity, unit_price, discount_amount, transaction_time, error_codes FROM flagged
+
+-- name: stream_validate_csv
+-- uses: flagged
+SELECT transaction_id, store_id, product_id, employee_id, customer_id, quantity, unit_price, discount_amount, transaction_time, error_codes FROM flagged
+
+-- name: stream_dedupe
+-- uses: feed
+SELECT DISTINCT transaction_id, product_id FROM feed

@@ -2,6 +2,14 @@
 -- uses: feed
 SELECT * EXCLUDE (l_linenumber, l_suppkey, l_shipdate, l_quantity) FROM feed
 
+-- name: feed_scan_headers
+-- uses: feed
+SELECT * EXCLUDE (l_linenumber, l_suppkey, l_shipdate, l_quantity), CAST(NULL AS VARCHAR) AS _corrupt FROM feed
+
+-- name: changed_files
+-- uses: feed
+SELECT split_part(store_id, '-', 2) AS store, count(*) AS rows, CAST(split_part(store_id, '-', 2) AS BIGINT) % 3 = 0 AS changed FROM feed GROUP BY ALL
+
 -- name: file_fingerprint
 -- uses: doc_files
 SELECT doc_id, file_name, length, file_hash FROM doc_files

@@ -1,10 +1,12 @@
 """Files, loads, whole runs, streams and plans."""
 
 import hashlib
+import struct
 from decimal import Decimal as D
 from pathlib import Path
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from tillforge import constants as C
@@ -180,11 +182,94 @@ def test_corrected_file_replaces_its_lines(spark, tmp_path):
     assert {r.tx_month for r in facts(spark, tmp_path).collect()} == {"2026-05"}  # the other lines are left out
 
 
+def plain_digest(content: bytes) -> str:
+    """The digest of a file, line by line."""
+    lines = content.removesuffix(b"\n").split(b"\n")
+    seed = xxhash.xxh64(struct.pack("<i", 1), seed=42).intdigest()
+    sums = [0] * 8
+    for place, text in enumerate(lines):
+        hashes = [xxhash.xxh64(text, seed=s).intdigest() for s in (42, seed)]
+        for i, half in enumerate(half for h in hashes for half in (h & 0xFFFFFFFF, h >> 32)):
+            sums[i] += half
+            sums[4 + i] += half % feed_files.PRIME * place
+    figures = [len(content), len(lines), *(s % feed_files.PRIME for s in sums)]
+    return hashlib.sha256("|".join(map(str, figures)).encode()).hexdigest()
+
+
+def digests_of(spark, folder):
+    return {Path(r.source_file).name: r for r in feed_files.digests(spark, str(folder)).collect()}
+
+
+def test_digests_do_not_depend_on_blocks(spark, tmp_path):
+    """Long enough for many blocks; several tasks read one file, and the digest is the plain one."""
+    lines = [line(i, price=f"{i % 97}.00") for i in range(3000)]
+    contents = {
+        "a": "\n".join([HEADER, *lines]) + "\n",
+        "open": "\n".join([HEADER, *lines]),
+        "crlf": "\r\n".join([HEADER, *lines]) + "\r\n",
+        "blank": "\n\n" + "\n".join([HEADER, *lines[:3], "", ""]),
+        "moved": "\n".join([HEADER, lines[1], lines[0], *lines[2:]]) + "\n",
+        "byte": "\n".join([HEADER, *lines[:-1], lines[-1][:-1] + "1"]) + "\n",
+        "nameless": "x,y\n" + "\n".join(lines[:5]) + f"\n{HEADER}\n",
+    }
+    for name, text in contents.items():
+        (tmp_path / f"{name}.csv").write_bytes(text.encode())
+    whole = digests_of(spark, tmp_path)
+    small = {"spark.sql.files.maxPartitionBytes": "20000", "spark.sql.files.openCostInBytes": "1"}
+    before = {k: spark.conf.get(k) for k in small}
+    try:
+        for k, v in small.items():
+            spark.conf.set(k, v)
+        read = spark.read.text(str(tmp_path / "a.csv"))
+        assert read.rdd.getNumPartitions() > 5
+        cut = digests_of(spark, tmp_path)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    for name, text in contents.items():
+        assert whole[f"{name}.csv"].file_hash == cut[f"{name}.csv"].file_hash == plain_digest(text.encode()), name
+        assert whole[f"{name}.csv"].header == cut[f"{name}.csv"].header == ("" if name == "nameless" else HEADER), name
+    assert len({r.file_hash for r in whole.values()}) == len(contents)
+
+
+def test_fifty_headers_are_one_scan(spark, tmp_path):
+    """Headers turned by k places, with one or two columns more; short and long lines are
+    marked by the length of their own header, a quote left open ends with its line."""
+    good = GOOD[0].split(",")
+    for k in range(50):
+        turned = C.FEED_COLUMNS[k % 9 :] + C.FEED_COLUMNS[: k % 9]
+        values = dict(zip(C.FEED_COLUMNS, good)) | {"transaction_id": f"TX-{k}"}
+        extra = ([f"x{k}"], ["more, \"\"quoted\"\""]) if k % 3 == 0 else ([f"y{k}", f"z{k}"], ["", ""])
+        row = [values[c] for c in turned] + [f'"{e}"' if e else "" for e in extra[1]]
+        width = len(row)
+        bad = ["short,a", ",".join(["surplus"] * (width + 1)), ",".join(["open"] * (width - 1) + ['"open'])]
+        write_csv(tmp_path / f"in/f{k}.csv", ",".join(row), *bad, header=",".join(turned + extra[0]))
+    scan = feed_files.scan_feed(spark, str(tmp_path / "in"))
+    plan = scan._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(" csv") == 1, plan
+    rows = scan.collect()
+    kept = [r for r in rows if r.transaction_id is not None and r.transaction_id.startswith("TX-")]
+    assert len(rows) == 200 and len(kept) == 50
+    for r in kept:
+        assert [r[c] for c in C.FEED_COLUMNS[1:]] == good[1:] and r[feed_files.CORRUPT] is None
+    marked = [r[feed_files.CORRUPT].split(",")[0] for r in rows if r[feed_files.CORRUPT]]
+    assert sorted(marked) == ["short"] * 50 + ["surplus"] * 50
+
+
+def test_too_many_headers_are_refused(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(feed_files, "MAX_HEADERS", 2)
+    for k in range(3):
+        write_csv(tmp_path / f"in/f{k}.csv", GOOD[0] + ",x", header=f"{HEADER},x{k}")
+    with pytest.raises(ValueError, match="f[012].csv"):
+        feed_files.scan_feed(spark, str(tmp_path / "in"))
+
+
 def test_fingerprints_and_file_checks(spark, tmp_path):
     full = write_csv(tmp_path / "store_001_sales_20260724.csv", GOOD[0])
     (tmp_path / "store_002_sales_20260724.csv").write_text("")
     prints = {Path(r.path).name: r for r in feed_files.fingerprints(spark, str(tmp_path)).collect()}
-    assert prints[full.name].file_hash == hashlib.sha256(full.read_bytes()).hexdigest()
+    assert prints[full.name].file_hash == plain_digest(full.read_bytes())
+    assert (prints[full.name].header, prints[full.name].lines) == (HEADER, 2)
     found = feed_files.files_by_store(spark, str(tmp_path))
     assert {(r.store, r.business_date) for r in found.collect()} == {("001", "20260724"), ("002", "20260724")}
     expected = spark.createDataFrame([("001",), ("002",), ("003",)], "store string")
@@ -262,3 +347,34 @@ def test_month_filter_prunes_partitions_and_columns(spark, base):
 def test_reports_read_only_what_they_need(spark, base):
     text = plan(catalog.QUERIES["store_watermark"](spark, base))
     assert "p_retailprice" in text and "p_name" not in text
+
+
+def csv_stream(spark, tmp_path):
+    out = tmp_path / "out"
+    ingest.validate_csv_stream(
+        ingest.file_stream(spark, str(tmp_path / "in")), AS_OF, f"{out}/clean", f"{out}/bad", f"{out}/checkpoint"
+    ).awaitTermination()
+    clean = spark.read.parquet(f"{out}/clean/rows").select("transaction_id").collect()
+    bad = spark.read.parquet(f"{out}/bad").select("transaction_id", "error_codes").collect()
+    return sorted(r[0] for r in clean), sorted((r[0], r[1]) for r in bad)
+
+
+def test_csv_stream_takes_any_header_and_goes_on_where_it_ended(spark, tmp_path):
+    turned = [*C.FEED_COLUMNS[3:], *C.FEED_COLUMNS[:3], "extra"]
+    values = dict(zip(C.FEED_COLUMNS, line(3).split(","))) | {"extra": "x"}
+    write_csv(tmp_path / "in/a.csv", line(1), line(2, quantity="-1"), "short,line")
+    write_csv(tmp_path / "in/b.csv", ",".join(values[c] for c in turned), header=",".join(turned))
+    (tmp_path / "in/empty.csv").write_text("")
+    clean, bad = csv_stream(spark, tmp_path)
+    assert clean == ["TX-1", "TX-3"] and ("TX-2", C.NEGATIVE_QUANTITY) in bad
+    short = next(codes for name, codes in bad if name == "short")
+    assert C.MALFORMED_LINE in short.split(",")
+    write_csv(tmp_path / "in/c.csv", line(4), line(1))
+    clean, bad = csv_stream(spark, tmp_path)
+    assert clean == ["TX-1", "TX-3", "TX-4"] and ("TX-1", C.DUPLICATE) in bad and len(bad) == 3
+
+
+def test_csv_stream_stops_at_a_file_without_required_columns(spark, tmp_path):
+    write_csv(tmp_path / "in/a.csv", "TX-1,STR-001", header="transaction_id,store_id")
+    with pytest.raises(Exception, match=C.MISSING_COLUMN):
+        csv_stream(spark, tmp_path)

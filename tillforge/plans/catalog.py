@@ -30,6 +30,8 @@ DECLARED_MONTHS = ["1998-07", "1998-08"]
 REPORT_DAY = "1998-07-16"
 STORED_UNTIL = "2000-01-01 00:00:00"
 LOST_MONTH = "1998-07"
+# Layouts of feed files in one folder.
+HEADERS = 7
 
 
 def query(fn: Query) -> Query:
@@ -111,6 +113,49 @@ def file_fingerprint(spark, base):
     return retail.file_fingerprints(spark, base)
 
 
+@query
+def feed_scan_headers(spark, base):
+    """The feed in folders whose files differ in the order of columns and in columns more."""
+    path = work_dir(spark, "feed-headers")
+    for turn in range(HEADERS):
+        _turned(feed(spark, base).filter(F.col(FEED_ORDER[0]) % HEADERS == turn), turn).write.options(
+            **feed_files.CSV_OPTIONS
+        ).csv(f"{path}/turn={turn}")
+    return feed_files.scan_feed(spark, path).select(*C.FEED_COLUMNS, feed_files.CORRUPT)
+
+
+def _turned(rows, turn):
+    """Feed columns from another first one on, with ``turn`` columns more."""
+    columns = [*C.FEED_COLUMNS[turn:], *C.FEED_COLUMNS[:turn]]
+    return rows.select(*columns, *(F.lit("a, b").alias(f"extra_{i}") for i in range(turn)))
+
+
+@query
+def changed_files(spark, base):
+    """Feeds of two nights, one file a store; in the second every third store has one column
+    other. Files whose digest was not there the night before are changed."""
+    number = F.regexp_extract("store_id", r"([0-9]+)$", 1)
+    first = feed(spark, base).select(*C.FEED_COLUMNS)
+    other = F.when(number.cast("bigint") % 3 == 0, F.lit("EMP-CHANGED")).otherwise(F.col("employee_id"))
+
+    def night(label, rows):
+        path = work_dir(spark, label)
+        named = rows.withColumn("feed", F.concat(F.lit("store_"), number, F.lit(f"_sales_{BUSINESS_DATE}.csv")))
+        # Sorted, so that equal feeds are equal files.
+        named.repartition("feed").sortWithinPartitions("feed", *C.FEED_COLUMNS).write.partitionBy("feed").options(
+            **feed_files.CSV_OPTIONS
+        ).csv(path)
+        return feed_files.digests(spark, path)
+
+    before = night("night-1", first).select("file_hash").distinct().withColumn("known", F.lit(True))
+    after = night("night-2", first.withColumn("employee_id", other))
+    return after.join(before, "file_hash", "left").select(
+        feed_files.feed_store(F.col("source_file")).alias("store"),
+        (F.col("lines") - 1).alias("rows"),
+        F.col("known").isNull().alias("changed"),
+    )
+
+
 def _store_files(spark, base):
     path = work_dir(spark, "store-files")
     feed_files.write_store_files(feed(spark, base), path, BUSINESS_DATE)
@@ -983,15 +1028,19 @@ def _landed_parquet(spark, base, arrivals=4):
     """The feed as files that arrive in feed order, in several lots; copies of a key fall
     into different lots. Returns the number of files in a lot as well."""
     path, rows, files = work_dir(spark, "landed"), feed(spark, base), spark.sparkContext.defaultParallelism
+    for lot in _lots(rows, arrivals):
+        lot.repartition(files).write.mode("append").parquet(path)
+    return path, spark.read.parquet(path).schema, files
+
+
+def _lots(rows, arrivals):
     by = F.col(FEED_ORDER[0])
     shares = [k / arrivals for k in range(1, arrivals)]
     # An empty lot would leave fewer files, and triggers would no longer end where lots do.
     cuts = sorted(set(rows.approxQuantile(FEED_ORDER[0], shares, 0.01))) if shares else []
     for low, high in zip([None, *cuts], [*cuts, None]):
         lot = rows if low is None else rows.filter(by > low)
-        lot = lot if high is None else lot.filter(by <= high)
-        lot.repartition(files).write.mode("append").parquet(path)
-    return path, spark.read.parquet(path).schema, files
+        yield lot if high is None else lot.filter(by <= high)
 
 
 @query
@@ -1007,8 +1056,25 @@ def stream_validate_feed(spark, base):
     return clean.unionByName(bad)
 
 
+@query
+def stream_validate_csv(spark, base):
+    """CSV files arrive in several lots, each lot with a header of its own; a stream is
+    started after each lot and goes on where the last one ended."""
+    landed, out = work_dir(spark, "landed-csv"), work_dir(spark, "stream-csv")
+    for lot, rows in enumerate(_lots(feed(spark, base), 3)):
+        in_order = rows.repartitionByRange(*FEED_ORDER).sortWithinPartitions(*FEED_ORDER)
+        _turned(in_order, lot).write.options(**feed_files.CSV_OPTIONS).csv(f"{landed}/lot={lot}")
+        ingest.validate_csv_stream(
+            ingest.file_stream(spark, landed), AS_OF, f"{out}/clean", f"{out}/bad", f"{out}/checkpoint"
+        ).awaitTermination()
+    clean = spark.read.parquet(f"{out}/clean/rows").select(*C.FEED_COLUMNS, F.lit("").alias("error_codes"))
+    bad = spark.read.parquet(f"{out}/bad").select(*C.FEED_COLUMNS, "error_codes")
+    return clean.unionByName(bad)
+
+
 @query
 def stream_dedupe(spark, base):
+    """Keys of the lines that are left; which copy of a line stays depends on arrival."""
     path, schema, files = _landed_parquet(spark, base)
     out = work_dir(spark, "stream-dedupe")
     lines = ingest.feed_stream(spark, path, schema, files)
@@ -1021,4 +1087,4 @@ def stream_dedupe(spark, base):
         .start()
         .awaitTermination()
     )
-    return spark.read.parquet(f"{out}/rows").select(*C.FEED_COLUMNS)
+    return spark.read.parquet(f"{out}/rows").select(*C.DUPLICATE_KEY)

@@ -89,8 +89,10 @@ def incoming(spark: SparkSession, feed_dir: str, run: Run, registry: DataFrame)
     """The files of the feed folder in the shape the classification wants."""
     files = feed_files.fingerprints(spark, feed_dir).select(
         "path",
+        "source_file",
         F.element_at(F.split("path", "/"), -1).alias("file_name"),
         "file_hash",
+        "header",
         F.col("modified").cast("timestamp_ntz").alias("file_time"),
         F.lit(run.batch_id).alias("batch_id"),
         F.lit(run.replay).alias("is_replay"),
@@ -172,19 +174,16 @@ def log_run(
 
 def write_manifest(files: DataFrame, flagged: DataFrame | None, changes: DataFrame | None, meta: str, run: Run) -> None:
     """One row per evaluated file: its class, its rows read, loaded and rejected."""
-    def local(column: str):
-        return F.regexp_replace(column, "^file:/+", "file:/")
-
     counts = ["rows_in_file", "rows_rejected", "rows_written"]
-    counted = files.withColumn("path", local("path"))
+    counted = files
     if flagged is None:
         counted = counted.withColumns({c: F.lit(0).cast("bigint") for c in counts})
     else:
-        rows = flagged.groupBy(local("source_file").alias("path")).agg(
+        rows = flagged.groupBy("source_file").agg(
             F.count(F.lit(1)).alias("rows_in_file"), F.count_if("failed").alias("rows_rejected")
         )
-        written = changes.groupBy(local("source_file").alias("path")).agg(F.count_if(F.col("change").isin(load.WRITTEN)).alias("rows_written"))
-        counted = counted.join(rows, "path", "left").join(written, "path", "left").fillna(0, counts)
+        written = changes.groupBy("source_file").agg(F.count_if(F.col("change").isin(load.WRITTEN)).alias("rows_written"))
+        counted = counted.join(rows, "source_file", "left").join(written, "source_file", "left").fillna(0, counts)
     incremental.run_manifest(counted, run.run_id, extra=["rows_rejected"]).write.mode("overwrite").parquet(
         f"{meta}/manifest/run_id={run.run_id}"
     )
@@ -242,14 +241,15 @@ def _run_stages(spark, feed_dir, warehouse, dims, run, run_rules, stages) -> dic
         write_manifest(files, None, None, meta, run)
         return {"run_id": run.run_id, "status": "SKIPPED", "files": 0}
 
-    missing = feed_files.lacking_columns(spark, paths)
+    headers = files.filter(F.col("classification").isin(LOADED)).select("source_file", "header")
+    missing = feed_files.lacking_columns(headers)
     if missing:
         raise validate.SchemaError(f"{C.MISSING_COLUMN}: {', '.join(missing)}")
     fingerprint = fingerprint_of(files, run, run_rules)
 
     def judge() -> dict:
         """Bronze to silver: judge every row once, keep the verdicts, count on the way."""
-        bronze = feed_files.land_feed(spark, paths, f"{warehouse}/bronze/feed/run_id={run.run_id}")
+        bronze = feed_files.land_feed(spark, paths, f"{warehouse}/bronze/feed/run_id={run.run_id}", headers)
         bronze = bronze.withColumn(load.LINE, load.line_key())
         ids = Observation("ids")
         verdicts = validate.flag_feed(
