@@ -84,3 +84,17 @@ def test_growth_needs_the_calendar_month_before(spark):
         (1, "100.00", "50.01", "50.01"),
         (12, None, None, None),
     ]
+
+
+def test_orders_take_no_more_room_than_pairs_of_key_and_order(spark, tmp_path):
+    """Orders far apart in number: a bitmap for each would be 4 KB."""
+    facts, path = str(tmp_path / "facts"), str(tmp_path / "aggregates")
+    load.commit_changes(spark, lines(spark, *((f"T{i:04}", i % 2 + 1, "2026-01-05", "1.00", "ADDED", []) for i in range(400))), facts)
+    aggregates.refresh(spark, facts, path)
+    held = aggregates.orders(spark, path, "store_sk")
+    assert dict(held.dtypes)["word"] == "bigint"
+    assert held.count() == 14  # words 0 to 6 of 64 orders, of two stores
+    assert held.agg(F.sum(F.bit_count("word"))).first()[0] == 400
+    assert per_store(spark, path) == {"one": (200, 200, "200.00"), "two": (200, 200, "200.00")}
+    plan = held.groupBy("number").agg(F.bit_or("word"))._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan

@@ -1,12 +1,14 @@
 """Partial aggregates by month and key, kept beside a versioned fact table.
 
-For every key there is one row of sums per month, and the orders of a month as bitmaps over
-dense order numbers, so that different orders are counted exactly over any months: bitmaps
-are put together by OR, sums by addition. A refresh reads the months that a load touched and
+For every key there is one row of sums per month, and the orders of a month as words of 64
+bits over dense order numbers, so that different orders are counted exactly over any months:
+words are put together by OR, sums by addition. Only words with a bit set are rows, so there
+are never more of them than pairs of a key and an order, however thinly a key's orders lie. A refresh reads the months that a load touched and
 no others; order numbers are looked up in a key store and given on to new orders.
 
-Like the fact table, nothing is written over: a refresh writes new month folders and then one
-small file that names the folders of each month.
+Like the fact table, nothing is written over: a refresh writes a new folder and then one small
+file that names the folder of each month. Rows are written as the aggregate leaves them, sorted
+by month, so that months are found by row group and no second shuffle gathers them.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ from tillforge.session import write_through
 COUNTED = ["date_sk", "store_sk", "employee_sk", "customer_sk"]
 SUMMED = [*COUNTED, "product_sk"]
 SUMS_SCHEMA = "{key} bigint, lines bigint, quantity bigint, net_sales_amount decimal(28,2), discount_amount decimal(28,2), tx_month string, load int"
-ORDERS_SCHEMA = "{key} bigint, number bigint, bitmap binary, tx_month string, load int"
+ORDERS_SCHEMA = "{key} bigint, number bigint, word bigint, tx_month string, load int"
 ORDER_KEYS = StructType([StructField("transaction_id", StringType()), StructField("order_no", LongType())])
 
 
@@ -50,12 +52,12 @@ def refresh(spark: SparkSession, facts_path: str, path: str, months: list[str] |
     there = sorted({m for m, _ in current(spark, facts_path)[1]})
     last, held = current(spark, path)
     touched = there if months is None else sorted(set(months))
-    fact = _numbered(spark, read_table(spark, facts_path, touched), path, last)
-    fact = write_through(
-        fact.select(MONTH, *SUMMED, "order_no", "quantity", "net_sales_amount", "discount_amount"), "numbered"
-    )
+    fact = read_table(spark, facts_path, touched)
+    # Only what is counted meets the order numbers; sums are made of the table itself.
+    counted = _numbered(spark, fact.select("transaction_id", MONTH, *COUNTED), path, last).filter("order_no is not null")
+    counted = write_through(counted.select(MONTH, *COUNTED, "order_no"), "numbered")
     for key in SUMMED:
-        known = fact.filter(F.col(key).isNotNull()).withColumn(key, F.col(key).cast("bigint"))
+        known = _keyed(fact, key)
         sums = known.groupBy(MONTH, key).agg(
             F.count(F.lit(1)).alias("lines"),
             F.sum("quantity").cast("bigint").alias("quantity"),
@@ -64,16 +66,20 @@ def refresh(spark: SparkSession, facts_path: str, path: str, months: list[str] |
         )
         _write(sums, f"{path}/{key}/sums/load={last + 1}")
         if key in COUNTED:
-            bits = known.filter("order_no is not null").groupBy(MONTH, key, F.bitmap_bucket_number("order_no").alias("number"))
-            _write(bits.agg(F.bitmap_construct_agg(F.bitmap_bit_position("order_no")).alias("bitmap")), f"{path}/{key}/orders/load={last + 1}")
+            words = _keyed(counted, key).groupBy(MONTH, key, F.shiftright("order_no", 6).alias("number"))
+            _write(words.agg(F.bit_or(F.expr("shiftleft(1L, cast(order_no & 63 as int))")).alias("word")), f"{path}/{key}/orders/load={last + 1}")
     pointers = [(m, n) for m, n in held if m not in touched] + [(m, last + 1) for m in touched if m in there]
     spark.createDataFrame([*pointers, (None, last + 1)], COMMIT_SCHEMA).coalesce(1).write.mode("overwrite").parquet(
         f"{path}/commits/commit={last + 1}"
     )
 
 
+def _keyed(rows: DataFrame, key: str) -> DataFrame:
+    return rows.filter(F.col(key).isNotNull()).withColumn(key, F.col(key).cast("bigint"))
+
+
 def _write(rows: DataFrame, path: str) -> None:
-    rows.hint("rebalance", MONTH).write.mode("overwrite").partitionBy(MONTH).parquet(path)
+    rows.sortWithinPartitions(MONTH).write.mode("overwrite").parquet(path)
 
 
 def _read(spark: SparkSession, path: str, table: str, schema: str) -> DataFrame:
@@ -83,7 +89,6 @@ def _read(spark: SparkSession, path: str, table: str, schema: str) -> DataFrame:
     if not loads:
         return spark.createDataFrame([], schema).drop("load")
     rows = spark.read.schema(schema).option("basePath", f"{path}/{table}").parquet(*[f"{path}/{table}/load={n}" for n in loads])
-    # Both are folder names, so that only the folders of current months are opened.
     named = [(F.col("load") == n) & F.col(MONTH).isin([m for m, k in held if k == n]) for n in loads]
     wanted = named[0]
     for one in named[1:]:
@@ -103,8 +108,8 @@ def orders(spark: SparkSession, path: str, key: str) -> DataFrame:
 
 def _per_group(spark, path: str, key: str, dim: DataFrame, groups: list[str], *more: Column) -> DataFrame:
     """``groups`` with the number of different orders and further aggregates of sums."""
-    bits = orders(spark, path, key).join(dim, key).groupBy(*groups, "number").agg(F.bitmap_or_agg("bitmap").alias("bitmap"))
-    counted = bits.groupBy(*groups).agg(F.sum(F.bitmap_count("bitmap")).alias("_orders"))
+    words = orders(spark, path, key).join(dim, key).groupBy(*groups, "number").agg(F.bit_or("word").alias("word"))
+    counted = words.groupBy(*groups).agg(F.sum(F.bit_count("word")).alias("_orders"))
     added = sums(spark, path, key).join(dim, key).groupBy(*groups).agg(
         F.sum("net_sales_amount").cast(TOTAL).alias("_net"), F.sum("lines").alias("_lines"), F.sum("quantity").cast("bigint").alias("_units"), *more
     )
