@@ -124,18 +124,22 @@ def line_changes(fact: DataFrame, stored: DataFrame, corrected: DataFrame | None
     """
     values = [*(c for c in C.FACT_COLUMNS if c != "audit_run_id"), SOURCE]
     old = stored.select(F.col(LINE).alias("_line"), F.col(MONTH).alias("_month"), *(F.col(c).alias(f"_old_{c}") for c in values))
-    met = fact.join(old, F.col(LINE) == F.col("_line"), "left")
+    # Inner: a first load, or one of new lines, carries no line into the comparison.
+    met = fact.join(old, F.col(LINE) == F.col("_line"))
     same = F.lit(True)
     for c in values:
         same = same & F.col(c).eqNullSafe(F.col(f"_old_{c}"))
     # A line has one version in the table, or a few where a load broke off.
     versions = met.groupBy(LINE).agg(
         F.collect_set(F.when(~same, F.col("_month"))).alias("old_months"),
-        F.coalesce(F.bool_or(same & F.col("_line").isNotNull()), F.lit(False)).alias("_same"),
+        F.bool_or(same).alias("_same"),
         F.count("_line").alias("_versions"),
     )
-    change = F.when(F.col("_versions") == 0, "ADDED").when(F.col("_same") & (F.col("_versions") == 1), "UNCHANGED")
-    changes = fact.join(versions, LINE).withColumn("change", change.otherwise("REPLACED")).drop("_same", "_versions")
+    change = F.when(F.col("_versions").isNull(), "ADDED").when(F.col("_same") & (F.col("_versions") == 1), "UNCHANGED")
+    known = fact.filter(F.col(LINE).isNotNull()).join(versions, LINE, "left")
+    changes = known.withColumns(
+        {"old_months": F.coalesce("old_months", F.array().cast("array<string>")), "change": change.otherwise("REPLACED")}
+    ).drop("_same", "_versions")
     if corrected is None:
         return changes
     left_out = stored.join(corrected.select(SOURCE).distinct(), SOURCE, "left_semi").join(fact.select(LINE), LINE, "left_anti")
@@ -162,7 +166,8 @@ def read_table(spark: SparkSession, path: str, months: list[str] | None = None)
     of these months are opened."""
     held = [(m, n) for m, n in current(spark, path)[1] if months is None or m in months]
     if not held:
-        return spark.createDataFrame([], KEYED_SCHEMA)
+        # The filter tells the planner that there are no rows; joins with them fall away.
+        return spark.createDataFrame([], KEYED_SCHEMA).filter(F.lit(False))
     folders = [f"{path}/data/load={n}/{MONTH}={m}" for m, n in held]
     rows = spark.read.schema(f"{KEYED_SCHEMA}, load int").option("basePath", f"{path}/data").parquet(*folders)
     return rows.drop("load")
