@@ -15,8 +15,7 @@ from tillforge.functions.text import (
     parse_number,
     parse_timestamp,
     redact,
-    strip_blank,
-    strip_control,
+    stripped,
 )
 
 CODE_COLUMNS = ["store_id", "product_id", "employee_id", "customer_id", "transaction_id"]
@@ -27,8 +26,8 @@ def clean(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Trim, strip control characters and NULL words in all (or the named) text columns."""
     texts = columns or [f.name for f in df.schema if isinstance(f.dataType, StringType)]
     # Two projections: one over all columns compiles to a method too long for the JIT.
-    stripped = df.withColumns({c: strip_control(strip_blank(F.col(c))) for c in texts})
-    return stripped.withColumns({c: null_words(F.col(c)) for c in texts})
+    plain = df.withColumns({c: stripped(F.col(c)) for c in texts})
+    return plain.withColumns({c: null_words(F.col(c)) for c in texts})
 
 
 def to_money(text: Column) -> Column:
