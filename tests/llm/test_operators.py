@@ -198,6 +198,24 @@ def test_edited_short_lines_against_all_pairs(spark):
     assert len(linked) >= 0.95 * sum(alike)
 
 
+def test_near_copies_of_a_frequent_line_are_compared_with_it_only(spark, monkeypatch):
+    rng = random.Random(12)
+    words = ["".join(rng.choice("abcdefghijklmnop") for _ in range(6)) for _ in range(40)]
+    copies = [" ".join([*words[:k % 40], f"new{k:03}", *words[k % 40 + 1 :]]) for k in range(60)]
+    docs = [(i, " ".join(words)) for i in range(5)] + [(10 + i, c) for i, c in enumerate(copies)]
+    compared, keep = [], line_dedup.Scratch.keep
+
+    def counted(self, df, label):
+        copy = keep(self, df, label)
+        compared.append(copy.count() if label in ("lines-pairs", "lines-rest") else 0)
+        return copy
+
+    monkeypatch.setattr(line_dedup.Scratch, "keep", counted)
+    got = line_dedup.judged_lines(spark.createDataFrame(docs, "doc_id bigint, text string"))
+    assert {(r.kept_doc_id, r.kept_line_no) for r in got.collect()} == {(0, 0)}
+    assert sum(compared) <= 3 * len(copies)
+
+
 def test_removed_lines_leave_the_rest_of_the_row(spark):
     table = [(i, t, "s", 0, "extra") for i, t in lines_fixture()]
     docs = spark.createDataFrame(table, "doc_id bigint, text string, source string, n_chars bigint, mark string")

@@ -3,12 +3,13 @@
 A line is lower-cased and trimmed; equal lines become one row by a hash aggregate, partial
 before the shuffle, so that a line with a third of all occurrences is one row a task. The
 distinct five-character shingles of each give SAMPLES minima (the shingle hash XORed with a
-seed each). Bands of minima are buckets; eight bits of each minimum are packed into a
-sketch of three numbers that travels with the bucket. In a bucket of at most SMALL lines
-all pairs whose sketches allow a link are decided by the exact Jaccard similarity of the
-shingle sets. In a larger one every line meets one hub first, and what then still belongs
-to several components is compared in full, in blocks. Union-find over the links; the
-earliest line of each component is kept.
+seed each). Bands of minima are buckets; eight bits of most minima are packed into a sketch.
+In every bucket all lines meet one hub, the line that occurs most: of near copies that is
+mostly the text they were made from. Pairs whose sketches allow a link are decided by the
+exact Jaccard similarity of the shingle sets. Buckets that then still hold several
+components are compared in full, in blocks, but for pairs that the sketches or the exact
+distances to the common hub exclude. Union-find over the links; the earliest line of each
+component is kept.
 
 Defined cases: lines end at a line feed; blank lines are never compared and stay; a line
 shorter than a shingle is its own only shingle; null texts have no lines; rows under one
@@ -18,6 +19,8 @@ without a doc_id are not compared and stay; extra columns are ignored or passed
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,21 +30,28 @@ from tillforge.llm.store import Scratch, keep
 #: One changed inner character costs five shingles: from 39 characters on 0.75 is still reached.
 SHINGLE = 5
 PERCENT_INTERSECTION, PERCENT_UNION = 100, 75
-#: A pair of exactly 0.75 shares no band with probability (1 - 0.75 ** 3) ** 8 = 1.3 %, one
-#: of 0.85 with 0.05 %.
-BANDS, BAND_ROWS = 8, 3
-SAMPLES = BANDS * BAND_ROWS
-#: Pairs with fewer equal minima go no further: of pairs at the threshold 0.01 %, were the
-#: minima independent.
-LEAST_EQUAL = 10
-#: Lines of a bucket that are compared without a hub.
-SMALL = 64
+#: Minima stand in a square of SIDE rows. A band is a line of this plane (two of them share at
+#: most one minimum) or a parabola. Were the minima independent, a pair of exactly 0.75 would
+#: share no band with probability 1.09 %, one of 0.85 with 0.02 % (simulated).
+SIDE = 5
+SAMPLES = SIDE * SIDE
+BANDS = [
+    *([x * SIDE + (bend * x * x + slope * x + start) % SIDE for x in range(SIDE)] for bend, slope in [*((0, m) for m in range(SIDE)), (1, 0)] for start in range(SIDE)),
+    *([x * SIDE + y for y in range(SIDE)] for x in range(SIDE)),
+]
+#: Bands that are shuffled at a time.
+AT_ONCE = 12
 #: Minima in one number of a sketch, a byte each.
 PACKED = 8
 SKETCH = [f"s{i}" for i in range(SAMPLES // PACKED)]
-#: Positions that one row of the shingle scan covers.
-STEP = 8
-BLOCK = 256
+SKETCHED = PACKED * len(SKETCH)
+MINIMA = [f"m{k}" for k in range(SAMPLES)]
+#: Pairs with fewer equal bytes go no further: of pairs at the threshold 0.01 %, were the
+#: minima independent.
+LEAST_EQUAL = 10
+#: Characters of a line in one row of the shingle scan, and positions that one row then covers.
+PIECE, STEP = 64, 8
+BLOCK = 512
 PLACE = "decimal(31,0)"
 
 
@@ -89,27 +99,27 @@ def distinct_lines(documents: DataFrame) -> DataFrame:
 
 
 def signatures(distinct: DataFrame) -> DataFrame:
-    """``node``, its ``buckets`` and its sketch."""
-    wide = distinct.select("node", F.length("line").alias("length"), _wide(F.col("line")).alias("wide"))
-    at = wide.select(
-        "node", "wide", _last(F.col("length")).alias("last"), F.explode(F.sequence(F.lit(0), _last(F.col("length")), F.lit(STEP))).alias("at")
-    )
+    """``node``, ``n`` and its minima."""
+    starts = F.sequence(F.lit(0), _last(F.length("line")), F.lit(PIECE))
+    pieces = F.transform(starts, lambda i: F.substring(F.col("line"), i + 1, F.lit(PIECE + SHINGLE - 1)))
+    wide = distinct.select("node", "n", F.explode(pieces).alias("piece"))
+    wide = wide.select("node", "n", _last(F.length("piece")).alias("last"), _wide(F.col("piece")).alias("wide"))
+    at = wide.select("node", "n", "wide", "last", F.explode(F.sequence(F.lit(0), F.col("last"), F.lit(STEP))).alias("at"))
     hashed = at.select(
-        "node", *(_shingle_at(F.col("wide"), F.least(F.col("at") + k, F.col("last"))).alias(f"h{k}") for k in range(STEP))
+        "node", "n", *(_shingle_at(F.col("wide"), F.least(F.col("at") + k, F.col("last"))).alias(f"h{k}") for k in range(STEP))
     )
+
     minima = [
-        F.min(F.least(*(F.col(f"h{i}").bitwiseXOR(F.lit(_seed(k))) for i in range(STEP)))).alias(f"m{k}") for k in range(SAMPLES)
+        F.min(F.least(*(F.col(f"h{i}").bitwiseXOR(F.lit(_seed(k))) for i in range(STEP)))).alias(m) for k, m in enumerate(MINIMA)
     ]
-    short = hashed.groupBy("node").agg(*minima).select("node", *(F.shiftright(f"m{k}", 32).alias(f"m{k}") for k in range(SAMPLES)))
-    buckets = [F.xxhash64(F.lit(b), *(f"m{b * BAND_ROWS + r}" for r in range(BAND_ROWS))) for b in range(BANDS)]
-    return short.select("node", F.array(*buckets).alias("buckets"), *_sketch())
+    return hashed.groupBy("node", "n").agg(*minima).select("node", "n", *(F.shiftright(m, 32).cast("int").alias(m) for m in MINIMA))
 
 
 def _sketch() -> list[Column]:
     def packed(first: int) -> Column:
         word = F.lit(0).cast("bigint")
         for i in range(PACKED):
-            word = word.bitwiseOR(F.shiftleft(F.col(f"m{first + i}").bitwiseAND(F.lit(255)), 8 * i))
+            word = word.bitwiseOR(F.shiftleft(F.col(f"m{first + i}").cast("bigint").bitwiseAND(F.lit(255)), 8 * i))
         return word
 
     return [packed(i * PACKED).alias(name) for i, name in enumerate(SKETCH)]
@@ -123,7 +133,7 @@ def _alike(left: str, right: str) -> Column:
         for shift, mask in ((4, 0x0F0F0F0F0F0F0F0F), (2, 0x0303030303030303), (1, 0x0101010101010101)):
             bits = bits.bitwiseOR(F.shiftrightunsigned(bits, shift)).bitwiseAND(F.lit(mask))
         different = different + F.bit_count(bits)
-    return different <= SAMPLES - LEAST_EQUAL
+    return different <= SKETCHED - LEAST_EQUAL
 
 
 def shingles(line: str) -> Column:
@@ -137,8 +147,9 @@ def shingles(line: str) -> Column:
     return F.get(F.transform(F.array(_wide(F.col(line))), of), F.lit(0))
 
 
-def _confirmed(pairs: DataFrame, distinct: DataFrame, scratch: Scratch) -> DataFrame:
-    """The pairs ``a, b`` of nodes whose shingle sets are similar enough."""
+def _measured(pairs: DataFrame, distinct: DataFrame, scratch: Scratch) -> DataFrame:
+    """The pairs ``a, b`` of nodes with the sizes of their shingle sets: what they ``shared``,
+    and the ``sum`` of both."""
     ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     texts = scratch.keep(distinct.select("node", "line").join(ends, "node"), "lines-texts")
     both = (
@@ -148,72 +159,93 @@ def _confirmed(pairs: DataFrame, distinct: DataFrame, scratch: Scratch) -> DataF
     )
     # Shingling costs far more than the bytes of a pair suggest, by which joins size their tasks.
     both = both.repartition(int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "a", "b")
-    # Rows of a generator: a filter is not pushed below it, so each list is made once, and
-    # the set functions are compiled for longs.
+    # Rows of a generator: each list is made once, and the set functions are compiled for longs.
     hashes = F.array(F.struct(shingles("line_a").alias("x"), shingles("line_b").alias("y")))
-    return both.select("a", "b", F.explode(hashes).alias("h")).filter(_similar(F.col("h.x"), F.col("h.y"))).select("a", "b")
+    x, y = F.col("h.x"), F.col("h.y")
+    sizes = both.select("a", "b", F.explode(hashes).alias("h"))
+    return sizes.select("a", "b", F.size(F.array_intersect(x, y)).alias("shared"), (F.size(F.array_distinct(x)) + F.size(F.array_distinct(y))).alias("sum"))
 
 
-def _similar(x: Column, y: Column) -> Column:
+def _similar() -> Column:
     """|x and y| / |x or y| reaches the threshold, with the union as |x| + |y| - |x and y|."""
-    shared = F.size(F.array_intersect(x, y))
-    return (PERCENT_INTERSECTION + PERCENT_UNION) * shared >= PERCENT_UNION * (F.size(F.array_distinct(x)) + F.size(F.array_distinct(y)))
+    return (PERCENT_INTERSECTION + PERCENT_UNION) * F.col("shared") >= PERCENT_UNION * F.col("sum")
 
 
 def _sided(members: DataFrame, side: str, keys: list[str]) -> DataFrame:
     return members.select(*keys, *(F.col(c).alias(side + c) for c in members.columns if c not in keys))
 
 
-def _small_pairs(members: DataFrame) -> DataFrame:
-    """All pairs ``a, b`` of buckets of at most SMALL lines whose sketches allow a link."""
-    small = members.filter(F.col("n") <= SMALL).select("bucket", "node", *SKETCH)
-    both = _sided(small, "l_", ["bucket"]).join(_sided(small, "r_", ["bucket"]), "bucket")
-    return both.filter((F.col("l_node") < F.col("r_node")) & _alike("l_", "r_")).select(F.col("l_node").alias("a"), F.col("r_node").alias("b"))
+def _members(signed: DataFrame, scratch: Scratch) -> list[DataFrame]:
+    """``bucket, node, size, hub`` of the buckets with several lines, some bands each. The
+    shuffled rows are used twice: to count a bucket and to meet the count."""
+    parts = []
+    # Buckets of several lines are the smaller side; a hash of them spares the sorting of all rows.
+    for first in range(0, len(BANDS), AT_ONCE):
+        buckets = [F.xxhash64(F.lit(first + b), *(MINIMA[k] for k in band)) for b, band in enumerate(BANDS[first : first + AT_ONCE])]
+        banded = signed.select(F.explode(F.array(*buckets)).alias("bucket"), "node", "n").repartition("bucket")
+        shared = banded.groupBy("bucket").agg(F.count("*").alias("size"), F.min_by("node", -F.col("n")).alias("hub")).filter("size > 1")
+        parts.append(scratch.keep(banded.join(shared.hint("shuffle_hash"), "bucket").select("bucket", "node", "size", "hub"), "lines-members"))
+    return parts
 
 
-def _hub_pairs(large: DataFrame) -> DataFrame:
-    """Pairs of a larger bucket's first line with its others."""
-    hubs = large.groupBy("bucket").agg(F.min("node").alias("node"))
-    hubs = _sided(large.join(hubs, ["bucket", "node"]).select("bucket", "node", *SKETCH), "l_", ["bucket"])
-    both = _sided(large.select("bucket", "node", *SKETCH), "r_", ["bucket"]).join(hubs, "bucket")
-    return both.filter((F.col("l_node") < F.col("r_node")) & _alike("l_", "r_")).select(F.col("l_node").alias("a"), F.col("r_node").alias("b"))
+def _hub_pairs(members: list[DataFrame], signed: DataFrame) -> DataFrame:
+    """Pairs ``a, b`` of the hub of a bucket and another line of it whose sketches allow a link."""
+    pairs = reduce(DataFrame.unionByName, [m.filter("hub <> node").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct() for m in members])
+    ends = [_sided(signed.select("node", *_sketch()), side, []).withColumnRenamed(f"{side}node", end) for side, end in (("l_", "a"), ("r_", "b"))]
+    return pairs.distinct().join(ends[0], "a").join(ends[1], "b").filter(_alike("l_", "r_")).select("a", "b")
 
 
-def _open_pairs(members: DataFrame) -> DataFrame:
-    """Pairs of different components in one bucket whose sketches allow a link. A bucket is
-    dealt out in blocks; every pair of blocks is one join key, and only what passes the
-    condition inside the join becomes a row."""
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    dealt = members.withColumn("own", F.pmod(F.xxhash64("node"), blocks.cast("bigint")).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    dealt = dealt.select(
-        "bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "root", *SKETCH
-    )
-    keys = ["bucket", "i", "j"]
-    left, right = (_sided(dealt.filter(f"own = {end}").drop("own"), side, keys) for end, side in (("i", "l_"), ("j", "r_")))
-    both = left.join(right, keys).filter((F.col("l_root") != F.col("r_root")) & _alike("l_", "r_"))
-    return both.select(F.least("l_node", "r_node").alias("a"), F.greatest("l_node", "r_node").alias("b")).distinct()
+def _far(left: Column, right: Column) -> Column:
+    """Whether similarities to one hub exclude a link: Jaccard distances are a metric. Nothing
+    is excluded where one was not measured."""
+    return F.coalesce(F.abs(left - right) > 1 - PERCENT_UNION / PERCENT_INTERSECTION + 1e-9, F.lit(False))
+
+
+def _open_pairs(members: DataFrame, signed: DataFrame, roots: DataFrame, near: DataFrame, scratch: Scratch) -> DataFrame:
+    """Pairs of different components in one bucket that may be linked. A bucket is dealt out
+    in blocks; every pair of blocks is one join key, and only what passes the condition
+    inside the join becomes a row."""
+    placed = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    placed = scratch.keep(placed, "lines-placed")
+    mixed = placed.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("bucket")
+    seen = near.select(F.col("a").alias("hub"), F.col("b").alias("node"), "similarity")
+    open_ = placed.join(mixed, "bucket").join(seen, ["hub", "node"], "left").join(signed.select("node", *_sketch()), "node")
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    dealt = open_.withColumn("similarity", F.when(F.col("hub") == F.col("node"), 1.0).otherwise(F.col("similarity")))
+    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("node"), blocks.cast("bigint")).cast("int"))
+    dealt = scratch.keep(dealt.select("bucket", "size", "own", "node", "root", "similarity", *SKETCH), "lines-open")
+    whole = dealt.filter(F.col("size") <= BLOCK).drop("size", "own")
+    cut = dealt.filter(F.col("size") > BLOCK).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    cut = cut.select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "root", "similarity", *SKETCH)
+    found = []
+    for keys, left, right, once in (
+        (["bucket"], whole, whole, F.col("l_node") < F.col("r_node")),
+        (["bucket", "i", "j"], cut.filter("own = i").drop("own"), cut.filter("own = j").drop("own"), (F.col("i") < F.col("j")) | (F.col("l_node") < F.col("r_node"))),
+    ):
+        both = _sided(left, "l_", keys).join(_sided(right, "r_", keys), keys)
+        both = both.filter(once & (F.col("l_root") != F.col("r_root")) & _alike("l_", "r_") & ~_far(F.col("l_similarity"), F.col("r_similarity")))
+        found.append(both.select(F.least("l_node", "r_node").alias("a"), F.greatest("l_node", "r_node").alias("b")))
+    return found[0].unionByName(found[1]).distinct()
 
 
 def _components(distinct: DataFrame, scratch: Scratch) -> DataFrame:
     """``node, root`` of the lines that are linked with another one."""
     signed = scratch.keep(signatures(distinct), "lines-signed")
-    banded = signed.select(F.explode("buckets").alias("bucket"), "node", *SKETCH)
-    crowded = scratch.keep(banded.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1"), "lines-crowded")
-    members = scratch.keep(banded.join(crowded, "bucket"), "lines-members")
-    large = members.filter(F.col("n") > SMALL)
-    pairs = scratch.keep(_small_pairs(members).unionByName(_hub_pairs(large)).distinct(), "lines-pairs")
-    links = scratch.keep(_confirmed(pairs, distinct, scratch), "lines-links")
+    members = _members(signed, scratch)
+    pairs = scratch.keep(_hub_pairs(members, signed), "lines-pairs")
+    near = scratch.keep(_measured(pairs, distinct, scratch).withColumn("similarity", F.col("shared") / (F.col("sum") - F.col("shared"))), "lines-near")
+    links = near.filter(_similar()).select("a", "b")
     roots = components(links, "lines-roots")
-    if large.isEmpty():
-        return roots
-    placed = large.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    mixed = placed.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("bucket")
-    rest = scratch.keep(_open_pairs(placed.join(mixed, "bucket")).join(pairs, ["a", "b"], "left_anti"), "lines-rest")
-    found = scratch.keep(_confirmed(rest, distinct, scratch), "lines-found")
+    rest = [scratch.keep(_open_pairs(part, signed, roots, near, scratch), "lines-rest") for part in members]
+    rest = reduce(DataFrame.unionByName, rest).distinct().join(_undirected(near), ["a", "b"], "left_anti")
+    found = scratch.keep(_measured(scratch.keep(rest, "lines-rest"), distinct, scratch).filter(_similar()).select("a", "b"), "lines-found")
     return roots if found.isEmpty() else components(links.unionByName(found), "lines-components")
 
 
+def _undirected(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+
 def line_components(documents: DataFrame) -> DataFrame:
     """``mark, root``: the earliest place in the component of each line that occurs more than
     once or is linked with another one."""
