@@ -40,7 +40,7 @@ BANDS = [
     *([x * SIDE + y for y in range(SIDE)] for x in range(SIDE)),
 ]
 #: Bands that are shuffled at a time.
-AT_ONCE = 12
+AT_ONCE = 5
 #: Minima in one number of a sketch, a byte each.
 PACKED = 8
 SKETCH = [f"s{i}" for i in range(SAMPLES // PACKED)]
@@ -175,7 +175,7 @@ def _sided(members: DataFrame, side: str, keys: list[str]) -> DataFrame:
     return members.select(*keys, *(F.col(c).alias(side + c) for c in members.columns if c not in keys))
 
 
-def _members(signed: DataFrame, scratch: Scratch) -> list[DataFrame]:
+def _members(signed: DataFrame, scratch: Scratch) -> DataFrame:
     """``bucket, node, size, hub`` of the buckets with several lines, some bands each. The
     shuffled rows are used twice: to count a bucket and to meet the count."""
     parts = []
@@ -185,12 +185,12 @@ def _members(signed: DataFrame, scratch: Scratch) -> list[DataFrame]:
         banded = signed.select(F.explode(F.array(*buckets)).alias("bucket"), "node", "n").repartition("bucket")
         shared = banded.groupBy("bucket").agg(F.count("*").alias("size"), F.min_by("node", -F.col("n")).alias("hub")).filter("size > 1")
         parts.append(scratch.keep(banded.join(shared.hint("shuffle_hash"), "bucket").select("bucket", "node", "size", "hub"), "lines-members"))
-    return parts
+    return reduce(DataFrame.unionByName, parts)
 
 
-def _hub_pairs(members: list[DataFrame], signed: DataFrame) -> DataFrame:
+def _hub_pairs(members: DataFrame, signed: DataFrame) -> DataFrame:
     """Pairs ``a, b`` of the hub of a bucket and another line of it whose sketches allow a link."""
-    pairs = reduce(DataFrame.unionByName, [m.filter("hub <> node").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct() for m in members])
+    pairs = members.filter("hub <> node").select(F.col("hub").alias("a"), F.col("node").alias("b"))
     ends = [_sided(signed.select("node", *_sketch()), side, []).withColumnRenamed(f"{side}node", end) for side, end in (("l_", "a"), ("r_", "b"))]
     return pairs.distinct().join(ends[0], "a").join(ends[1], "b").filter(_alike("l_", "r_")).select("a", "b")
 
@@ -236,8 +236,7 @@ def _components(distinct: DataFrame, scratch: Scratch) -> DataFrame:
     near = scratch.keep(_measured(pairs, distinct, scratch).withColumn("similarity", F.col("shared") / (F.col("sum") - F.col("shared"))), "lines-near")
     links = near.filter(_similar()).select("a", "b")
     roots = components(links, "lines-roots")
-    rest = [scratch.keep(_open_pairs(part, signed, roots, near, scratch), "lines-rest") for part in members]
-    rest = reduce(DataFrame.unionByName, rest).distinct().join(_undirected(near), ["a", "b"], "left_anti")
+    rest = _open_pairs(members, signed, roots, near, scratch).join(_undirected(near), ["a", "b"], "left_anti")
     found = scratch.keep(_measured(scratch.keep(rest, "lines-rest"), distinct, scratch).filter(_similar()).select("a", "b"), "lines-found")
     return roots if found.isEmpty() else components(links.unionByName(found), "lines-components")
 
