@@ -216,6 +216,52 @@ def test_near_copies_of_a_frequent_line_are_compared_with_it_only(spark, monkeyp
     assert sum(compared) <= 3 * len(copies)
 
 
+def test_half_copies_of_a_frequent_line_are_not_compared_with_each_other(spark, monkeypatch):
+    """All share buckets, and none is linked with the frequent line: only bitmaps tell them
+    apart. Two are copies of one another, which the comparison of the bucket has to find."""
+    rng = random.Random(13)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(6))
+    words = [word() for _ in range(60)]
+    copies = [" ".join(word() if i in out else w for i, w in enumerate(words)) for out in (rng.sample(range(60), 7) for _ in range(40))]
+    copies.append(copies[7][:100] + "#" + copies[7][101:])
+    docs = [(i, " ".join(words)) for i in range(5)] + [(10 + i, c) for i, c in enumerate(copies)]
+    compared, keep = [], line_dedup.Scratch.keep
+
+    def counted(self, df, label):
+        copy = keep(self, df, label)
+        compared.append(copy.count() if label == "lines-rest" else 0)
+        return copy
+
+    monkeypatch.setattr(line_dedup.Scratch, "keep", counted)
+    got = rows(line_dedup.judged_lines(spark.createDataFrame(docs, "doc_id bigint, text string")), *LINES)
+    assert got == line_rows(docs)
+    assert (50, 0, 17, 0, False) in got
+    assert sum(compared) <= len(copies) // 4
+
+
+def test_parity_bitmaps_exclude_no_link(spark):
+    """Lengths from one shingle on, up to where a bitmap of this size is full, repeats included."""
+    rng = random.Random(14)
+    pairs = []
+    for n in [3, 5, 6, 9, 20, 21, 40, 80, 200, 500, 1500, 4000] * 6:
+        line = "".join(rng.choice("abcdefgh ") for _ in range(n // 2)) * 2
+        for edits in {0, 1, n // 60, n // 35}:
+            other = list(line)
+            for i in rng.sample(range(len(line)), min(edits, len(line))):
+                other[i] = "Z"
+            pairs.append((line, "".join(other)))
+    lines = spark.createDataFrame([(i, x) for i, pair in enumerate(pairs) for x in [pair]], "i int, x struct<a string, b string>")
+    node = lines.select(F.explode(F.array(F.struct((F.col("i") * 2).alias("node"), F.col("x.a").alias("line")), F.struct((F.col("i") * 2 + 1).alias("node"), F.col("x.b").alias("line")))).alias("l")).select("l.*")
+    odd = line_dedup._odd_sketches(node)
+    left, right = (odd.select((F.floor(F.col("node") / 2)).alias("i"), "node", *(F.col(c).alias(side + c) for c in odd.columns[1:])).filter(f"node % 2 = {k}").drop("node") for k, side in enumerate(("l_", "r_")))
+    reach = {r.i: (r.ok, r.l_different, r.r_different) for r in left.join(right, "i").withColumn("ok", line_dedup._within_reach()).collect()}
+    sets = [[{x[i : i + 5] for i in range(max(1, len(x) - 4))} for x in pair] for pair in pairs]
+    linked = [100 * len(a & b) >= 75 * len(a | b) for a, b in sets]
+    assert [reach[i][1:] for i in range(len(pairs))] == [(len(a), len(b)) for a, b in sets]
+    assert all(reach[i][0] for i, link in enumerate(linked) if link) and sum(linked) > 100
+    assert sum(not ok for ok, *_ in reach.values()) > 30
+
+
 def test_removed_lines_leave_the_rest_of_the_row(spark):
     table = [(i, t, "s", 0, "extra") for i, t in lines_fixture()]
     docs = spark.createDataFrame(table, "doc_id bigint, text string, source string, n_chars bigint, mark string")

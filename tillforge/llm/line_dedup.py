@@ -7,9 +7,10 @@ seed each). Bands of minima are buckets; eight bits of most minima are packed in
 In every bucket all lines meet one hub, the line that occurs most: of near copies that is
 mostly the text they were made from. Pairs whose sketches allow a link are decided by the
 exact Jaccard similarity of the shingle sets. Buckets that then still hold several
-components are compared in full, in blocks, but for pairs that the sketches or the exact
-distances to the common hub exclude. Union-find over the links; the earliest line of each
-component is kept.
+components are compared in full, in blocks, but for pairs that cannot be linked: the bits in
+which parity bitmaps of the shingle sets differ bound the difference of the sets from below,
+and so do the exact distances to the common hub. Union-find over the links; the earliest
+line of each component is kept.
 
 Defined cases: lines end at a line feed; blank lines are never compared and stay; a line
 shorter than a shingle is its own only shingle; null texts have no lines; rows under one
@@ -21,7 +22,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillforge.llm.components import components
@@ -49,6 +50,8 @@ MINIMA = [f"m{k}" for k in range(SAMPLES)]
 #: Pairs with fewer equal bytes go no further: of pairs at the threshold 0.01 %, were the
 #: minima independent.
 LEAST_EQUAL = 10
+#: Words of a parity bitmap, 64 bits each.
+ODD = [f"o{w}" for w in range(16)]
 #: Characters of a line in one row of the shingle scan, and positions that one row then covers.
 PIECE, STEP = 64, 8
 BLOCK = 512
@@ -176,15 +179,15 @@ def _sided(members: DataFrame, side: str, keys: list[str]) -> DataFrame:
 
 
 def _members(signed: DataFrame, scratch: Scratch) -> DataFrame:
-    """``bucket, node, size, hub`` of the buckets with several lines, some bands each. The
-    shuffled rows are used twice: to count a bucket and to meet the count."""
-    parts = []
-    # Buckets of several lines are the smaller side; a hash of them spares the sorting of all rows.
+    """``bucket, node, size, hub`` of the buckets with several lines, some bands each. Rows are
+    sorted by bucket once, counted, and those of single lines are gone before a hub is sought."""
+    parts, bucket = [], Window.partitionBy("bucket")
     for first in range(0, len(BANDS), AT_ONCE):
         buckets = [F.xxhash64(F.lit(first + b), *(MINIMA[k] for k in band)) for b, band in enumerate(BANDS[first : first + AT_ONCE])]
-        banded = signed.select(F.explode(F.array(*buckets)).alias("bucket"), "node", "n").repartition("bucket")
-        shared = banded.groupBy("bucket").agg(F.count("*").alias("size"), F.min_by("node", -F.col("n")).alias("hub")).filter("size > 1")
-        parts.append(scratch.keep(banded.join(shared.hint("shuffle_hash"), "bucket").select("bucket", "node", "size", "hub"), "lines-members"))
+        banded = signed.select(F.explode(F.array(*buckets)).alias("bucket"), "node", "n")
+        shared = banded.withColumn("size", F.count("*").over(bucket)).filter("size > 1")
+        hubs = shared.withColumn("hub", F.min_by("node", -F.col("n")).over(bucket))
+        parts.append(scratch.keep(hubs.select("bucket", "node", "size", "hub"), "lines-members"))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -201,29 +204,52 @@ def _far(left: Column, right: Column) -> Column:
     return F.coalesce(F.abs(left - right) > 1 - PERCENT_UNION / PERCENT_INTERSECTION + 1e-9, F.lit(False))
 
 
-def _open_pairs(members: DataFrame, signed: DataFrame, roots: DataFrame, near: DataFrame, scratch: Scratch) -> DataFrame:
+def _odd_sketches(lines: DataFrame) -> DataFrame:
+    """``node``, how many different shingles its line has, and their parity bitmap: every one
+    flips a bit, so that two bitmaps differ in no more bits than the sets in shingles."""
+    # By node, and into as many tasks as may be: a line costs far more than its bytes suggest.
+    dealt = lines.repartition(int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions")), "node")
+    each = dealt.select("node", F.explode(F.array_distinct(shingles("line"))).alias("h"))
+    each = each.select("node", F.expr("shiftrightunsigned(h, 60)").alias("word"), F.expr("shiftleft(1L, cast(h & 63 as int))").alias("bit"))
+    words = [F.bit_xor(F.when(F.col("word") == w, F.col("bit")).otherwise(F.lit(0).cast("bigint"))).alias(o) for w, o in enumerate(ODD)]
+    return each.groupBy("node").agg(F.count("*").alias("different"), *words)
+
+
+def _within_reach() -> Column:
+    """False only where a link is impossible: linked sets differ in at most a share of both
+    sizes together, and by no less than their bitmaps or their sizes do."""
+    bits = reduce(Column.__add__, (F.bit_count(F.col("l_" + o).bitwiseXOR(F.col("r_" + o))) for o in ODD))
+    apart = F.greatest(bits.cast("bigint"), F.abs(F.col("l_different") - F.col("r_different")))
+    both = F.col("l_different") + F.col("r_different")
+    return (PERCENT_INTERSECTION + PERCENT_UNION) * apart <= (PERCENT_INTERSECTION - PERCENT_UNION) * both
+
+
+def _open_pairs(members: DataFrame, distinct: DataFrame, roots: DataFrame, near: DataFrame, scratch: Scratch) -> DataFrame:
     """Pairs of different components in one bucket that may be linked. A bucket is dealt out
     in blocks; every pair of blocks is one join key, and only what passes the condition
-    inside the join becomes a row."""
-    placed = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    inside the join becomes a row. A bucket of two has no pair but that of its hub."""
+    placed = members.filter("size > 2").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     placed = scratch.keep(placed, "lines-placed")
     mixed = placed.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("bucket")
     seen = near.select(F.col("a").alias("hub"), F.col("b").alias("node"), "similarity")
-    open_ = placed.join(mixed, "bucket").join(seen, ["hub", "node"], "left").join(signed.select("node", *_sketch()), "node")
+    open_ = placed.join(mixed, "bucket").join(seen, ["hub", "node"], "left")
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     dealt = open_.withColumn("similarity", F.when(F.col("hub") == F.col("node"), 1.0).otherwise(F.col("similarity")))
     dealt = dealt.withColumn("own", F.pmod(F.xxhash64("node"), blocks.cast("bigint")).cast("int"))
-    dealt = scratch.keep(dealt.select("bucket", "size", "own", "node", "root", "similarity", *SKETCH), "lines-open")
-    whole = dealt.filter(F.col("size") <= BLOCK).drop("size", "own")
+    dealt = scratch.keep(dealt.select("bucket", "size", "own", "node", "root", "similarity"), "lines-open")
+    lines = distinct.select("node", "line").join(dealt.select("node").distinct(), "node")
+    dealt = dealt.join(scratch.keep(_odd_sketches(lines), "lines-odd"), "node")
+    own = ["own", "node", "root", "similarity", "different", *ODD]
+    whole = dealt.filter(F.col("size") <= BLOCK).select("bucket", *own[1:])
     cut = dealt.filter(F.col("size") > BLOCK).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    cut = cut.select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "root", "similarity", *SKETCH)
+    cut = cut.select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), *own)
     found = []
     for keys, left, right, once in (
         (["bucket"], whole, whole, F.col("l_node") < F.col("r_node")),
         (["bucket", "i", "j"], cut.filter("own = i").drop("own"), cut.filter("own = j").drop("own"), (F.col("i") < F.col("j")) | (F.col("l_node") < F.col("r_node"))),
     ):
         both = _sided(left, "l_", keys).join(_sided(right, "r_", keys), keys)
-        both = both.filter(once & (F.col("l_root") != F.col("r_root")) & _alike("l_", "r_") & ~_far(F.col("l_similarity"), F.col("r_similarity")))
+        both = both.filter(once & (F.col("l_root") != F.col("r_root")) & ~_far(F.col("l_similarity"), F.col("r_similarity")) & _within_reach())
         found.append(both.select(F.least("l_node", "r_node").alias("a"), F.greatest("l_node", "r_node").alias("b")))
     return found[0].unionByName(found[1]).distinct()
 
@@ -234,11 +260,11 @@ def _components(distinct: DataFrame, scratch: Scratch) -> DataFrame:
     members = _members(signed, scratch)
     pairs = scratch.keep(_hub_pairs(members, signed), "lines-pairs")
     near = scratch.keep(_measured(pairs, distinct, scratch).withColumn("similarity", F.col("shared") / (F.col("sum") - F.col("shared"))), "lines-near")
-    links = near.filter(_similar()).select("a", "b")
-    roots = components(links, "lines-roots")
-    rest = _open_pairs(members, signed, roots, near, scratch).join(_undirected(near), ["a", "b"], "left_anti")
+    roots = components(near.filter(_similar()).select("a", "b"), "lines-roots")
+    rest = _open_pairs(members, distinct, roots, near, scratch).join(_undirected(near), ["a", "b"], "left_anti")
     found = scratch.keep(_measured(scratch.keep(rest, "lines-rest"), distinct, scratch).filter(_similar()).select("a", "b"), "lines-found")
-    return roots if found.isEmpty() else components(links.unionByName(found), "lines-components")
+    linked = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+    return roots if found.isEmpty() else components(linked.unionByName(found), "lines-components")
 
 
 def _undirected(pairs: DataFrame) -> DataFrame:
