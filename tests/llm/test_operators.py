@@ -239,6 +239,18 @@ def test_half_copies_of_a_frequent_line_are_not_compared_with_each_other(spark,
     assert sum(compared) <= len(copies) // 4
 
 
+def test_minima_are_those_of_all_shingles_and_lines_are_not_cut_before_the_scan(spark):
+    """Lengths around a scanned row, characters of one to four bytes."""
+    rng = random.Random(15)
+    texts = ["".join(rng.choice("abcde \u00e9\u4e2d\U0001f600") for _ in range(n)) for n in [1, 4, 5, 6, 19, 20, 21, 36, 37, 68, 69, 700]]
+    lines = spark.createDataFrame([(i, 1, x) for i, x in enumerate(texts)], "node bigint, n bigint, line string")
+    signed = line_dedup.signatures(lines)
+    each = lines.select("node", F.explode(line_dedup.shingles("line")).alias("h"))
+    plain = each.groupBy("node").agg(*(F.shiftright(F.min(F.col("h").bitwiseXOR(F.lit(line_dedup._seed(k)))), 32).cast("int").alias(m) for k, m in enumerate(line_dedup.MINIMA)))
+    assert rows(signed, "node", *line_dedup.MINIMA) == rows(plain, "node", *line_dedup.MINIMA)
+    assert "transform(" not in signed._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_parity_bitmaps_exclude_no_link(spark):
     """Lengths from one shingle on, up to where a bitmap of this size is full, repeats included."""
     rng = random.Random(14)

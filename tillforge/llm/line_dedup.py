@@ -52,8 +52,8 @@ MINIMA = [f"m{k}" for k in range(SAMPLES)]
 LEAST_EQUAL = 10
 #: Words of a parity bitmap, 64 bits each.
 ODD = [f"o{w}" for w in range(16)]
-#: Characters of a line in one row of the shingle scan, and positions that one row then covers.
-PIECE, STEP = 64, 8
+#: Positions that one row of the shingle scan covers.
+STEP = 16
 BLOCK = 512
 PLACE = "decimal(31,0)"
 
@@ -102,20 +102,16 @@ def distinct_lines(documents: DataFrame) -> DataFrame:
 
 
 def signatures(distinct: DataFrame) -> DataFrame:
-    """``node``, ``n`` and its minima."""
-    starts = F.sequence(F.lit(0), _last(F.length("line")), F.lit(PIECE))
-    pieces = F.transform(starts, lambda i: F.substring(F.col("line"), i + 1, F.lit(PIECE + SHINGLE - 1)))
-    wide = distinct.select("node", "n", F.explode(pieces).alias("piece"))
-    wide = wide.select("node", "n", _last(F.length("piece")).alias("last"), _wide(F.col("piece")).alias("wide"))
+    """``node``, ``n`` and its minima, of the upper halves of the hashes. A line is made wide
+    once; the rows that scan it share it and copy no text."""
+    wide = distinct.select("node", "n", _last(F.length("line")).alias("last"), _wide(F.col("line")).alias("wide"))
     at = wide.select("node", "n", "wide", "last", F.explode(F.sequence(F.lit(0), F.col("last"), F.lit(STEP))).alias("at"))
-    hashed = at.select(
-        "node", "n", *(_shingle_at(F.col("wide"), F.least(F.col("at") + k, F.col("last"))).alias(f"h{k}") for k in range(STEP))
-    )
-
+    hashes = (_shingle_at(F.col("wide"), F.least(F.col("at") + k, F.col("last"))) for k in range(STEP))
+    hashed = at.select("node", "n", *(F.shiftright(h, 32).cast("int").alias(f"h{k}") for k, h in enumerate(hashes)))
     minima = [
-        F.min(F.least(*(F.col(f"h{i}").bitwiseXOR(F.lit(_seed(k))) for i in range(STEP)))).alias(m) for k, m in enumerate(MINIMA)
+        F.min(F.least(*(F.col(f"h{i}").bitwiseXOR(F.lit(_seed(k) >> 32)) for i in range(STEP)))).alias(m) for k, m in enumerate(MINIMA)
     ]
-    return hashed.groupBy("node", "n").agg(*minima).select("node", "n", *(F.shiftright(m, 32).cast("int").alias(m) for m in MINIMA))
+    return hashed.groupBy("node", "n").agg(*minima)
 
 
 def _sketch() -> list[Column]:
