@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampNTZType
 
 from tillforge.constants import MASK, NULL_WORDS
 
@@ -72,6 +73,12 @@ def parse_timestamp(text: Column) -> Column:
     return F.when(text.rlike(TIMESTAMP), text.try_cast("timestamp_ntz"))
 
 
+def timestamp_of(df: DataFrame, name: str) -> Column:
+    """A text column as :func:`parse_timestamp` reads it; one that is parsed as it is."""
+    column = F.col(name)
+    return column if isinstance(df.schema[name].dataType, TimestampNTZType) else parse_timestamp(column)
+
+
 def redact(text: Column) -> Column:
     """Mask the value part of password, token, key, secret and database URL texts."""
     text = F.regexp_replace(text, secret_value(SECRET_NAMES[0]), f"$1{MASK}")

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tillforge.session import write_through
+from tillforge.session import COMPACT, write_through
 
 GENERATION = 16
 BUCKETS = 64
@@ -52,7 +52,7 @@ class KeyStore:
     def add(self, rows: DataFrame, number: int) -> None:
         """Store the keys of a batch; the last batch of a generation closes it."""
         spark = rows.sparkSession
-        rows.select(*self.schema.names).distinct().write.mode("overwrite").parquet(self._batch(number))
+        rows.select(*self.schema.names).distinct().write.mode("overwrite").options(**COMPACT).parquet(self._batch(number))
         if (number + 1) % self.generation == 0:
             self._close(spark, number // self.generation)
 
@@ -64,7 +64,7 @@ class KeyStore:
         (
             held.withColumn("bucket", bucket).drop("_place")
             .hint("rebalance", "bucket")
-            .write.mode("overwrite").partitionBy("bucket").parquet(f"{self._closed(generation)}/keys")
+            .write.mode("overwrite").options(**COMPACT).partitionBy("bucket").parquet(f"{self._closed(generation)}/keys")
         )
         (
             held.groupBy(F.bitmap_bucket_number(F.col("_place") + 1).alias("number"))

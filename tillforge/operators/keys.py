@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillforge import constants as C
-from tillforge.functions.text import parse_timestamp
+from tillforge.functions.text import timestamp_of
 from tillforge.session import write_through
 
 LOOKUPS = ["store", "product", "employee", "customer"]
@@ -29,19 +29,26 @@ def look_up(feed: DataFrame, dim: DataFrame, entity: str) -> DataFrame:
     """
     nk, sk = f"{entity}_id", f"{entity}_sk"
     pairs = dim.select(F.col(nk).alias("_nk"), F.col(sk).alias(f"{entity}_found"))
-    spread_null = F.concat(F.lit("\x00"), F.pmod(F.xxhash64("transaction_id", "product_id"), F.lit(512)).cast("string"))
-    key = F.coalesce(feed[nk], spread_null) if entity == "customer" else feed[nk]
-    return feed.join(pairs, key == pairs["_nk"], "left").drop("_nk")
+    if entity != "customer":
+        return feed.join(pairs, feed[nk] == pairs["_nk"], "left").drop("_nk")
+    # A number of its own, so that the keys it is made of need not go through the shuffle.
+    lane = F.pmod(F.xxhash64("transaction_id", "product_id"), F.lit(512)).cast("int")
+    spread = feed.withColumn("_lane", F.when(F.col(nk).isNull(), lane))
+    key = F.coalesce(spread[nk], F.concat(F.lit("\x00"), spread["_lane"].cast("string")))
+    return spread.join(pairs, key == pairs["_nk"], "left").drop("_nk", "_lane")
 
 
 def resolve_keys(feed: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
-    """Add the five surrogate keys; unknown members get -1, no customer stays NULL."""
+    """Add the five surrogate keys; unknown members get -1, no customer stays NULL.
+
+    Every join with a large dimension shuffles ``feed``: what can be made of its columns is
+    better added behind this."""
     for entity in LOOKUPS:
         feed = look_up(feed, dims[entity], entity)
     unknown = F.lit(C.UNKNOWN_KEY).cast("bigint")
     keys = {f"{e}_sk": F.coalesce(F.col(f"{e}_found"), unknown) for e in LOOKUPS}
     keys["customer_sk"] = F.when(F.col("customer_id").isNotNull(), keys["customer_sk"])
-    keys["date_sk"] = date_key(parse_timestamp(F.col("transaction_time")))
+    keys["date_sk"] = date_key(timestamp_of(feed, "transaction_time"))
     return feed.withColumns(keys).drop(*[f"{e}_found" for e in LOOKUPS])
 
 

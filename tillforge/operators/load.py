@@ -5,11 +5,12 @@ from __future__ import annotations
 from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillforge import constants as C
 from tillforge.functions.text import clean_text
+from tillforge.session import COMPACT, shuffles_dropped, write_through
 
 MONTH = "tx_month"
 #: Identity of a business line, from its natural keys.
@@ -121,30 +122,56 @@ def line_changes(fact: DataFrame, stored: DataFrame, corrected: DataFrame | None
     Both sides carry LINE and SOURCE; ``stored`` is limited by the caller to the months that
     can hold the lines. ``corrected`` lists the SOURCE files that are delivered whole again:
     their stored lines that no file delivers are removed.
+
+    Both sides are dealt by line together, once, and all versions of a line are looked at
+    where they meet. A line has one version in the table, or a few where a load broke off.
     """
-    values = [*(c for c in C.FACT_COLUMNS if c != "audit_run_id"), SOURCE]
-    old = stored.select(F.col(LINE).alias("_line"), F.col(MONTH).alias("_month"), *(F.col(c).alias(f"_old_{c}") for c in values))
-    # Inner: a first load, or one of new lines, carries no line into the comparison.
-    met = fact.join(old, F.col(LINE) == F.col("_line"))
-    same = F.lit(True)
-    for c in values:
-        same = same & F.col(c).eqNullSafe(F.col(f"_old_{c}"))
-    # A line has one version in the table, or a few where a load broke off.
-    versions = met.groupBy(LINE).agg(
-        F.collect_set(F.when(~same, F.col("_month"))).alias("old_months"),
-        F.bool_or(same).alias("_same"),
-        F.count("_line").alias("_versions"),
+    sent = fact.filter(F.col(LINE).isNotNull())
+    columns = [LINE, *(c for c in fact.columns if c != LINE)]
+    if _no_rows(stored):
+        return sent.select(*columns, F.array().cast("array<string>").alias("old_months"), F.lit("ADDED").alias("change"))
+    held = stored
+    if corrected is not None:
+        # Written, so that a short list of files is broadcast.
+        files = write_through(corrected.select(SOURCE).distinct(), "corrected")
+        held = stored.join(files.withColumn("_left_out", F.lit(True)), SOURCE, "left")
+    met = sent.withColumn("_is_sent", F.lit(True)).unionByName(
+        held.filter(F.col(LINE).isNotNull()).withColumn("_is_sent", F.lit(False)), allowMissingColumns=True
+    )
+    of_line, is_sent = Window.partitionBy(LINE), F.col("_is_sent")
+    values = F.struct(*(c for c in C.FACT_COLUMNS if c != "audit_run_id"), SOURCE)
+    met = met.withColumns(
+        {
+            "_sent": F.count_if(is_sent).over(of_line),
+            "_held": F.count_if(~is_sent).over(of_line),
+            "_least": F.min(F.when(is_sent, values)).over(of_line),
+            "_most": F.max(F.when(is_sent, values)).over(of_line),
+        }
     )
-    change = F.when(F.col("_versions").isNull(), "ADDED").when(F.col("_same") & (F.col("_versions") == 1), "UNCHANGED")
-    known = fact.filter(F.col(LINE).isNotNull()).join(versions, LINE, "left")
-    changes = known.withColumns(
-        {"old_months": F.coalesce("old_months", F.array().cast("array<string>")), "change": change.otherwise("REPLACED")}
-    ).drop("_same", "_versions")
+    same = values.eqNullSafe(F.col("_least")) & values.eqNullSafe(F.col("_most"))
+    other = ~is_sent & (F.col("_sent") > 0) & ~same
+    met = met.withColumn("old_months", F.collect_set(F.when(other, F.col(MONTH))).over(of_line))
+    # One IF in the other: whoever asks for new lines alone pays for no value of theirs.
+    change = F.expr("if(_held = 0, 'ADDED', if(_sent = 1 and _held = 1 and size(old_months) = 0, 'UNCHANGED', 'REPLACED'))")
+    changes = met.filter(is_sent).select(*columns, "old_months", change.alias("change"))
     if corrected is None:
         return changes
-    left_out = stored.join(corrected.select(SOURCE).distinct(), SOURCE, "left_semi").join(fact.select(LINE), LINE, "left_anti")
-    removed = left_out.withColumns({"old_months": F.array(MONTH), "change": F.lit("REMOVED")})
-    return changes.unionByName(removed, allowMissingColumns=True)
+    removed = (F.array(MONTH).alias("old_months"), F.lit("REMOVED").alias("change"))
+    left_out = F.coalesce("_left_out", F.lit(False))
+    kinds = met.filter(is_sent | (left_out & (F.col("_sent") == 0))).select(
+        *columns,
+        F.when(is_sent, F.col("old_months")).otherwise(F.array(MONTH)).alias("old_months"),
+        F.when(is_sent, change).otherwise("REMOVED").alias("change"),
+    )
+    # A stored line without a key equals none; it is not dealt with all others of its kind.
+    nameless = held.filter(F.col(LINE).isNull() & left_out).select(*stored.columns, *removed)
+    return kinds.unionByName(nameless, allowMissingColumns=True)
+
+
+def _no_rows(df: DataFrame) -> bool:
+    """Whether the planner knows that there are no rows; nothing is run."""
+    most = df._jdf.queryExecution().optimizedPlan().maxRows()
+    return most.isDefined() and most.get() == 0
 
 
 def current(spark: SparkSession, path: str) -> tuple[int, list[tuple[str, int]]]:
@@ -192,14 +219,15 @@ def commit_changes(spark: SparkSession, changes: DataFrame, path: str) -> dict[s
         rows = new.unionByName(stay.select(*KEYED_COLUMNS, F.lit(False).alias("_new")))
     seen = Observation(f"load {last + 1}")
     target = f"{path}/data/load={last + 1}"
-    (
-        with_month(rows)
-        .hint("rebalance", MONTH)
-        .sortWithinPartitions(MONTH, "store_sk")
-        .observe(seen, F.count_if("_new").alias("written"), F.count_if(~F.col("_new")).alias("kept"))
-        .drop("_new")
-        .write.mode("overwrite").partitionBy(MONTH).parquet(target)
-    )
+    with shuffles_dropped(spark):
+        (
+            with_month(rows)
+            .hint("rebalance", MONTH)
+            .sortWithinPartitions(MONTH, "store_sk")
+            .observe(seen, F.count_if("_new").alias("written"), F.count_if(~F.col("_new")).alias("kept"))
+            .drop("_new")
+            .write.mode("overwrite").options(**COMPACT).partitionBy(MONTH).parquet(target)
+        )
     files = spark.read.schema(KEYED_SCHEMA).parquet(target).inputFiles()
     there = {unquote(f).split(f"/{MONTH}=")[1].split("/")[0] for f in files}
     pointers = [(m, n) for m, n in held if m not in months] + [(m, last + 1) for m in sorted(there)]

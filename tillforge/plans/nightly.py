@@ -30,6 +30,7 @@ from tillforge.functions.text import parse_timestamp
 from tillforge.operators import audit, incremental, keys, load, observed, rules, transform, validate
 from tillforge.operators.key_store import KeyStore
 from tillforge.operators.scorecard import score_of
+from tillforge.session import scratch
 from tillforge.sources import feed_files
 
 REGISTRY_SCHEMA = (
@@ -279,7 +280,7 @@ def _run_stages(spark, feed_dir, warehouse, dims, run, run_rules, stages) -> dic
     staged = f"{warehouse}/silver/facts/run_id={run.run_id}"
 
     def make_facts() -> dict:
-        resolved = keys.resolve_keys(transform.enrich(cleaned), dims)
+        resolved = transform.enrich(keys.resolve_keys(transform.timed(cleaned), dims))
         fact = transform.fact_projection(resolved, run.audit_run_id, extra=[load.LINE, "source_file"])
         fact = fact.withColumn(load.SOURCE, F.element_at(F.split("source_file", "/"), -1))
         fact, seen = observed.observed(load.with_month(fact), "facts", [F.count(F.lit(1)).alias("transformed_rows")])
@@ -304,11 +305,12 @@ def _run_stages(spark, feed_dir, warehouse, dims, run, run_rules, stages) -> dic
         own = fact.select(load.MONTH)
         months = [r[0] for r in own.union(by_file).union(by_line).distinct().collect()]  # calendar months: few
         corrected = files.filter(F.col("classification").isin("MODIFIED", "REPROCESS")).select("file_name")
-        changes = load.line_changes(fact, load.read_table(spark, facts_path, months), corrected)
-        kinds = [F.count_if(F.col("change") == k).alias(k.lower()) for k in KINDS]
-        changes, seen = observed.observed(changes, "changes", kinds)
-        changes.write.mode("overwrite").parquet(changes_path)
-        return seen.get
+        with scratch(spark):
+            changes = load.line_changes(fact, load.read_table(spark, facts_path, months), corrected)
+            kinds = [F.count_if(F.col("change") == k).alias(k.lower()) for k in KINDS]
+            changes, seen = observed.observed(changes, "changes", kinds)
+            changes.write.mode("overwrite").parquet(changes_path)
+            return seen.get
 
     kinds = stages.run_once("CHANGES", at_commit, compare)
     changes = spark.read.parquet(changes_path)

@@ -5,7 +5,10 @@ from __future__ import annotations
 import atexit
 import shutil
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -68,6 +71,65 @@ def work_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/tillforge/{label}-{uuid.uuid4().hex}"
 
 
+#: What written copies and loaded tables are compressed with; a third smaller than the default.
+COMPACT = {"compression": "zstd"}
+#: For writes of many small files. On a local disk Hadoop puts a checksum file beside each
+#: and starts a process for the rights of either; the plain local file system makes the file
+#: alone. Other storage takes no notice.
+MANY_FILES = {
+    "fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem",
+    "fs.file.impl.disable.cache": "true",
+}
+
+
+@contextmanager
+def _set(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
+def shuffles_dropped(spark: SparkSession):
+    """Shuffle files of a query that runs in here go when it ends, not when the driver's
+    collector finds its plan. They are of no use after a write: its copy is read instead."""
+    return _set(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+
+
+def folders_listed(spark: SparkSession):
+    """A read that is set up in here lists its folders in a few tasks a core; Spark starts a
+    task for each of the first 10,000 folders."""
+    tasks = 4 * spark.sparkContext.defaultParallelism
+    return _set(spark, "spark.sql.sources.parallelPartitionDiscovery.parallelism", str(tasks))
+
+
+_open = threading.local()
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[list[str]]:
+    """Copies that :func:`write_through` makes in here are deleted at its end: for work that
+    leaves nothing behind which still reads them. Paths added to the list go as well."""
+    outer, own = getattr(_open, "paths", None), []
+    _open.paths = own
+    try:
+        yield own
+    finally:
+        _open.paths = outer
+        for path in own:
+            delete(spark, path)
+
+
 def write_through(df: DataFrame, label: str) -> DataFrame:
     """Write a result once to the shared folder and go on from the written copy.
 
@@ -75,5 +137,8 @@ def write_through(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = work_dir(spark, label)
-    df.write.mode("error").parquet(path)
+    if getattr(_open, "paths", None) is not None:
+        _open.paths.append(path)
+    with shuffles_dropped(spark):
+        df.write.mode("error").options(**COMPACT).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
