@@ -21,7 +21,7 @@ from tillforge.functions.money import TOTAL, cents, from_cents, half_up
 from tillforge.operators.key_store import KeyStore
 from tillforge.operators.keys import assign_keys
 from tillforge.operators.load import COMMIT_SCHEMA, MONTH, current, read_table
-from tillforge.session import write_through
+from tillforge.session import scratch, shuffles_dropped, write_through
 
 #: Keys with orders counted, and those with sums only.
 COUNTED = ["date_sk", "store_sk", "employee_sk", "customer_sk"]
@@ -53,21 +53,22 @@ def refresh(spark: SparkSession, facts_path: str, path: str, months: list[str] |
     last, held = current(spark, path)
     touched = there if months is None else sorted(set(months))
     fact = read_table(spark, facts_path, touched)
-    # Only what is counted meets the order numbers; sums are made of the table itself.
-    counted = _numbered(spark, fact.select("transaction_id", MONTH, *COUNTED), path, last).filter("order_no is not null")
-    counted = write_through(counted.select(MONTH, *COUNTED, "order_no"), "numbered")
-    for key in SUMMED:
-        known = _keyed(fact, key)
-        sums = known.groupBy(MONTH, key).agg(
-            F.count(F.lit(1)).alias("lines"),
-            F.sum("quantity").cast("bigint").alias("quantity"),
-            F.sum("net_sales_amount").cast(TOTAL).alias("net_sales_amount"),
-            F.sum("discount_amount").cast(TOTAL).alias("discount_amount"),
-        )
-        _write(sums, f"{path}/{key}/sums/load={last + 1}")
-        if key in COUNTED:
-            words = _keyed(counted, key).groupBy(MONTH, key, F.shiftright("order_no", 6).alias("number"))
-            _write(words.agg(F.bit_or(F.expr("shiftleft(1L, cast(order_no & 63 as int))")).alias("word")), f"{path}/{key}/orders/load={last + 1}")
+    with scratch(spark), shuffles_dropped(spark):
+        # Only what is counted meets the order numbers; sums are made of the table itself.
+        counted = _numbered(spark, fact.select("transaction_id", MONTH, *COUNTED), path, last).filter("order_no is not null")
+        counted = write_through(counted.select(MONTH, *COUNTED, "order_no"), "numbered")
+        for key in SUMMED:
+            known = _keyed(fact, key)
+            sums = known.groupBy(MONTH, key).agg(
+                F.count(F.lit(1)).alias("lines"),
+                F.sum("quantity").cast("bigint").alias("quantity"),
+                F.sum("net_sales_amount").cast(TOTAL).alias("net_sales_amount"),
+                F.sum("discount_amount").cast(TOTAL).alias("discount_amount"),
+            )
+            _write(sums, f"{path}/{key}/sums/load={last + 1}")
+            if key in COUNTED:
+                words = _keyed(counted, key).groupBy(MONTH, key, F.shiftright("order_no", 6).alias("number"))
+                _write(words.agg(F.bit_or(F.expr("shiftleft(1L, cast(order_no & 63 as int))")).alias("word")), f"{path}/{key}/orders/load={last + 1}")
     pointers = [(m, n) for m, n in held if m not in touched] + [(m, last + 1) for m in touched if m in there]
     spark.createDataFrame([*pointers, (None, last + 1)], COMMIT_SCHEMA).coalesce(1).write.mode("overwrite").parquet(
         f"{path}/commits/commit={last + 1}"

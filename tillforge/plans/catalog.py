@@ -810,11 +810,7 @@ def report_monthly_refreshed(spark, base):
     time = F.when(F.dayofmonth("transaction_time") % 3 == 1, later).otherwise(F.col("transaction_time"))
     sent = stored.filter(F.year("transaction_time") == 1997).withColumn("transaction_time", time)
     sent = load.with_month(sent.withColumn("date_sk", keys.date_key(F.col("transaction_time"))))
-    changes = write_through(load.line_changes(sent, stored), "changes")
-    load.commit_changes(spark, changes, facts)
-    moved = changes.filter(F.col("change") != "UNCHANGED")
-    months = moved.select(F.explode(F.concat("old_months", F.array(load.MONTH)))).distinct()
-    aggregates.refresh(spark, facts, partial, [r[0] for r in months.collect()])  # calendar months: few
+    aggregates.refresh(spark, facts, partial, _load_changes(spark, sent, stored, facts))
     return aggregates.monthly(spark, partial, retail.dim_date(spark, base))
 
 
