@@ -149,20 +149,27 @@ def changed_files(spark, base):
     """Feeds of two nights, one file a store; in the second every third store has one column
     other. Files whose digest was not there the night before are changed."""
     number = F.regexp_extract("store_id", r"([0-9]+)$", 1)
-    first = stored_feed(spark, base).select(*C.FEED_COLUMNS)
     other = F.when(number.cast("bigint") % 3 == 0, F.lit("EMP-CHANGED")).otherwise(F.col("employee_id"))
 
     def night(label, rows):
         path = work_dir(spark, label)
-        named = rows.withColumn("feed", F.concat(F.lit("store_"), number, F.lit(f"_sales_{BUSINESS_DATE}.csv")))
-        # Sorted, so that equal feeds are equal files.
-        named.repartition("feed").sortWithinPartitions("feed", *C.FEED_COLUMNS).write.partitionBy("feed").options(
-            **feed_files.CSV_OPTIONS
-        ).csv(path)
-        return feed_files.digests(spark, path)
+        name = F.concat(F.lit("store_"), number, F.lit(f"_sales_{BUSINESS_DATE}.csv"))
+        # A store's lines are gathered by its number and named behind the shuffle; sorted, so
+        # that equal feeds are equal files.
+        named = rows.repartition(number).withColumn("feed", name).sortWithinPartitions("feed", *C.FEED_COLUMNS)
+        with shuffles_dropped(spark):
+            named.write.partitionBy("feed").options(**feed_files.CSV_OPTIONS, **feed_files.MANY_FILES).csv(path)
+        found = write_through(feed_files.digests(spark, path), f"{label}-digests")
+        # Of a night the digests are left, as in a registry.
+        delete(spark, path)
+        return found
 
-    before = night("night-1", first).select("file_hash").distinct().withColumn("known", F.lit(True))
-    after = night("night-2", first.withColumn("employee_id", other))
+    with scratch(spark) as copies:
+        first = write_through(feed(spark, base).select(*C.FEED_COLUMNS), "feed")
+        nights = night("night-1", first), night("night-2", first.withColumn("employee_id", other))
+        copies[:] = copies[:1]
+    before = nights[0].select("file_hash").distinct().withColumn("known", F.lit(True))
+    after = nights[1]
     return after.join(before, "file_hash", "left").select(
         feed_files.feed_store(F.col("source_file")).alias("store"),
         (F.col("lines") - 1).alias("rows"),
