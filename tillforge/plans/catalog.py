@@ -728,7 +728,9 @@ def latest_watermark(spark, base):
 
 @query
 def store_watermark(spark, base):
-    return incremental.store_watermark(passed(spark, base), parse_timestamp(F.col("transaction_time")))
+    # Few columns are asked for: the feed is judged as it is read, without a copy of all.
+    rows = validate.passed_rows(validate.flag_feed(feed(spark, base), FEED_ORDER, AS_OF))
+    return incremental.store_watermark(rows, parse_timestamp(F.col("transaction_time")))
 
 
 # --- sales reports -----------------------------------------------------------------------
